@@ -26,7 +26,7 @@ from newsloom.operators.matching import Key, with_terms
 from newsloom.operators.terms import numbered
 
 #: Models up to this many label-term cells are held by the ML pipeline; larger ones are joined.
-MAX_CELLS = 20_000_000
+MAX_CELLS = 2_000_000
 
 _TABLES = ("labels", "terms", "weights")
 
@@ -94,7 +94,10 @@ def train(
 
 
 def model_of(stats: DataFrame, *, smoothing: float = 1.0) -> BayesModel:
-    """The model that belongs to the output of :func:`class_term_stats`."""
+    """The model that belongs to the output of :func:`class_term_stats`.
+
+    Its tables are derived from ``stats``, which should be written rather than lazy.
+    """
     no_term = F.col("term").isNull()
     counted = stats.where(no_term)
     n_docs = counted.agg(F.sum("n")).scalar()
@@ -114,7 +117,6 @@ def model_of(stats: DataFrame, *, smoothing: float = 1.0) -> BayesModel:
             F.map_from_entries(F.collect_list(F.struct("label", "share"))).alias("_shares"),
         )
     )
-    per_term = materialize(per_term, "term-shares")
     terms = numbered(per_term.select("term", "idf"), F.substring("term", 1, 2), ["term"], "term_id")
     all_labels = counted.agg(F.collect_list("label")).scalar()
     share = F.coalesce(F.col("_shares")[F.col("label")], F.lit(0.0))
@@ -135,12 +137,7 @@ def model_of(stats: DataFrame, *, smoothing: float = 1.0) -> BayesModel:
             (F.ln(F.col("weight_sum") + smoothing) - F.col("_log_total")).alias("theta"),
         )
     )
-    return BayesModel(
-        labels=materialize(labels, "labels"),
-        terms=materialize(terms.select("term_id", "term", "idf"), "idf"),
-        weights=materialize(weights, "theta"),
-        smoothing=smoothing,
-    )
+    return BayesModel(labels, terms.select("term_id", "term", "idf"), weights, smoothing)
 
 
 def predict(
@@ -184,17 +181,22 @@ def predict(
     )
 
 
-def pipeline_of(model: BayesModel, *, terms: str = "terms", label: str = "label") -> PipelineModel:
+def pipeline_of(
+    model: BayesModel, *, terms: str = "terms", label: str = "label"
+) -> PipelineModel | None:
     """The model as an ML pipeline, which scores every row in place: no join and no shuffle.
 
+    None if the model is empty or above ``MAX_CELLS``; :func:`predict` handles those.
+
     ML's own naive Bayes is fitted on one row per label: the mean weights of its documents, with
     their number as row weight. Its class sums are then those of the whole corpus.
     """
-    cells = model.weights.count()
-    if not 0 < cells <= MAX_CELLS:
-        raise ValueError(f"{cells} cells: use predict() for an empty model or above {MAX_CELLS}")
-    vocabulary = model.terms.orderBy("term_id").collect()
     names = [row["label"] for row in model.labels.orderBy("label_id").collect()]
+    most = MAX_CELLS // max(len(names), 1)
+    vocabulary = model.terms.limit(most + 1).collect()
+    if not vocabulary or len(vocabulary) > most:
+        return None
+    vocabulary.sort(key=lambda row: row["term_id"])
     sums = (
         model.weights.join(model.terms.select("term", "term_id"), "term")
         .groupBy("label_id")
@@ -207,6 +209,7 @@ def pipeline_of(model: BayesModel, *, terms: str = "terms", label: str = "label"
             F.transform("_row", lambda cell: cell["weight_sum"] / F.col("n_docs"))
         ).alias("features"),
     )
+    means = materialize(means, "label-means")
     bayes = NaiveBayes(
         smoothing=model.smoothing, featuresCol="features", labelCol="label", weightCol="weight"
     ).fit(means)
@@ -239,9 +242,10 @@ def classify(
 ) -> DataFrame:
     """``key, label``: the most likely label of each text."""
     tokenized = with_terms(docs, lexicon, text=text, key=key)
-    if 0 < model.weights.count() <= MAX_CELLS:
-        return pipeline_of(model).transform(tokenized.select(*key, "terms")).select(*key, "label")
-    return predict(tokenized, model, key=key, small=False)
+    pipeline = pipeline_of(model)
+    if pipeline is None:
+        return predict(tokenized, model, key=key, small=False)
+    return pipeline.transform(tokenized.select(*key, "terms")).select(*key, "label")
 
 
 def label_histogram(predicted: DataFrame) -> DataFrame:

@@ -17,15 +17,16 @@ def upper_edges(
 
     Documents with the same set of keywords are counted first, so the pairs of a set are formed
     once however many copies share it, and partial sums leave each task before any shuffle.
+    (Outer ``posexplode``: see :func:`newsloom.operators.matching.exploded`.)
     """
     sets = (
         with_keywords(docs, lexicon, text=text, key=key)
-        .where(F.size("keywords") > 1)
         .groupBy("keywords")
         .agg(F.count(F.lit(1)).alias("docs"))
     )
     pairs = (
-        sets.select("docs", "keywords", F.posexplode("keywords").alias("i", "a"))
+        sets.select("docs", "keywords", F.posexplode_outer("keywords").alias("i", "a"))
+        .where(F.col("a").isNotNull())
         .select(
             "docs",
             "a",

@@ -50,7 +50,8 @@ def spread_join(
     )
     # At most total rows / hot_rows keys; Catalyst sees the real size of the written table.
     parts = F.coalesce(F.col("_parts"), F.lit(1))
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns if c != on])
+    # Stable if a task is run again, and different for equal rows of different tasks.
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in big.columns])
     left = big.join(hot, on, "left").select(
         *big.columns, F.pmod(row_hash, parts).cast("int").alias("_part")
     )

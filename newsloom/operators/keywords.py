@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
 from newsloom.operators.lexicon import Lexicon
-from newsloom.operators.matching import Key, with_keywords
+from newsloom.operators.matching import Key, exploded, with_keywords
 
 
 def document_frequency(
@@ -17,8 +17,7 @@ def document_frequency(
 ) -> DataFrame:
     """``n, kw``: in how many documents each keyword occurs, rarest first, never zero."""
     return (
-        with_keywords(docs, lexicon, text=text, key=key)
-        .select(F.explode("keywords").alias("kw"))
+        exploded(with_keywords(docs, lexicon, text=text, key=key), "keywords", "kw")
         .groupBy("kw")
         .agg(F.count(F.lit(1)).alias("n"))
         .select("n", "kw")

@@ -63,6 +63,15 @@ def with_terms(
     return _attach(docs, per_doc, "terms", key)
 
 
+def exploded(df: DataFrame, array: str, name: str, *keep: str) -> DataFrame:
+    """One row per element of a computed array column.
+
+    A plain ``explode`` makes the optimizer filter empty arrays first, which would compute the
+    array a second time; the outer form does not, and its null rows are dropped afterwards.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
+
+
 def keyword_positions(
     docs: DataFrame, lexicon: Lexicon, *, text: str = "text", key: Key = ("doc_id",)
 ) -> DataFrame:

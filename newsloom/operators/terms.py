@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import text as T
 from newsloom.lineage import materialize
 from newsloom.operators.joins import lookup
-from newsloom.operators.matching import Key
+from newsloom.operators.matching import Key, exploded
 
 
 def numbered(df: DataFrame, group: Column, order: list[str], name: str) -> DataFrame:
@@ -38,9 +38,7 @@ def numbered(df: DataFrame, group: Column, order: list[str], name: str) -> DataF
 
 def term_dictionary(tokenized: DataFrame) -> DataFrame:
     """``term_id, term``: the distinct terms, numbered from 0 in ascending order."""
-    terms = materialize(
-        tokenized.select(F.explode("terms").alias("term")).distinct(), "terms"
-    )
+    terms = materialize(exploded(tokenized, "terms", "term").distinct(), "terms")
     return numbered(terms, F.substring("term", 1, 2), ["term"], "term_id").select(
         "term_id", "term"
     )
@@ -63,7 +61,7 @@ def count_rows(df: DataFrame) -> Column:
 def custom_idf(tokenized: DataFrame) -> DataFrame:
     """``term, occurrences, idf``: documents divided by all occurrences of the term, no log."""
     counts = (
-        tokenized.select(F.explode("terms").alias("term"))
+        exploded(tokenized, "terms", "term")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )
@@ -73,7 +71,7 @@ def custom_idf(tokenized: DataFrame) -> DataFrame:
 def document_ratio(tokenized: DataFrame) -> DataFrame:
     """``term, n_docs, ratio``: the share of documents whose terms include the term."""
     counts = (
-        tokenized.select(F.explode(F.array_distinct("terms")).alias("term"))
+        exploded(tokenized.select(F.array_distinct("terms").alias("_once")), "_once", "term")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_docs"))
     )

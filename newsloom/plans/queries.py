@@ -7,6 +7,7 @@ embeddings table holds word vectors and, read as rows of numbers, a matrix.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -315,14 +316,9 @@ def nb_label_hist(dictionary: Dictionary) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         lexicon = dictionary(spark, sf_dir)
         model = _model(spark, sf_dir, lexicon)
-        parts = [
-            bayes.classify(texts, lexicon, model, key=("corpus", "id", "part"))
-            for texts in _corpora(spark, sf_dir).values()
-        ]
-        both = parts[0]
-        for part in parts[1:]:
-            both = both.unionByName(part)
-        return both.groupBy("corpus", "label").agg(F.count(F.lit(1)).alias("n"))
+        texts = reduce(DataFrame.unionByName, _corpora(spark, sf_dir).values())
+        predicted = bayes.classify(texts, lexicon, model, key=("corpus", "id", "part"))
+        return predicted.groupBy("corpus", "label").agg(F.count(F.lit(1)).alias("n"))
 
     return query
 
