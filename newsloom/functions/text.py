@@ -78,6 +78,39 @@ def occurrences(text: Column, keyword: Column | str) -> Column:
     return (removed / F.length(keyword)).cast("bigint")
 
 
+def keyword_counts(text: Column, keywords: Sequence[str]) -> Column:
+    """``array<struct<kw, n>>``: how often each contained keyword occurs, without overlap."""
+
+    def counted(kw: Column, n: Column) -> Column:
+        return F.struct(kw.alias("kw"), n.alias("n"))
+
+    if len(keywords) <= FEW_KEYWORDS:
+        found = contained_keywords(text, keywords)
+        return F.transform(found, lambda kw: counted(kw, occurrences(text, kw)))
+    starts = F.concat(
+        *[
+            _overlapping(text, patterns.longest_first(layer))
+            for layer in patterns.prefix_layers(keywords)
+        ]
+    )
+    # Starts overlap only where a keyword ends as it begins; only then is it counted by itself.
+    return F.transform(
+        term_counts(starts),
+        lambda c: counted(
+            c["term"],
+            F.when(
+                (c["n"] > 1) & _ends_as_it_begins(c["term"]), occurrences(text, c["term"])
+            ).otherwise(c["n"]),
+        ),
+    )
+
+
+def _ends_as_it_begins(word: Column) -> Column:
+    sizes = F.sequence(F.lit(1), F.length(word) - 1)
+    same = F.exists(sizes, lambda i: F.left(word, i) == F.right(word, i))
+    return (F.length(word) > 1) & same
+
+
 def term_counts(terms: Column) -> Column:
     """``array<struct<term, n>>``: each distinct term with its count, ordered by term."""
 

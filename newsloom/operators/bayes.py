@@ -8,6 +8,7 @@ class sums together. Everything after it works on that small table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -15,7 +16,7 @@ from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, IndexToString, Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
@@ -181,6 +182,36 @@ def predict(
     )
 
 
+def vectorizer(vocabulary: Sequence[Row], terms: str, output: str) -> PipelineModel:
+    """Term lists to sparse weight vectors: ``vocabulary`` has term and idf, in id order.
+
+    Unknown terms are not counted; a text without known terms gives an empty vector.
+    """
+    return PipelineModel(
+        [
+            CountVectorizerModel.from_vocabulary(
+                [row["term"] for row in vocabulary], inputCol=terms, outputCol="_counts"
+            ),
+            Normalizer(p=1.0, inputCol="_counts", outputCol="_shares"),
+            ElementwiseProduct(
+                scalingVec=Vectors.dense([row["idf"] for row in vocabulary]),
+                inputCol="_shares",
+                outputCol=output,
+            ),
+        ]
+    )
+
+
+def tfidf_vectors(tokenized: DataFrame, model: BayesModel, *, output: str = "weights") -> DataFrame:
+    """Add the weights of each text as a sparse vector in the order of ``model.terms``."""
+    vocabulary = model.terms.limit(MAX_CELLS + 1).collect()
+    if not 0 < len(vocabulary) <= MAX_CELLS:
+        raise ValueError("use tfidf() for empty vocabularies and very large ones")
+    vocabulary.sort(key=lambda row: row["term_id"])
+    vectors = vectorizer(vocabulary, "terms", output).transform(tokenized)
+    return vectors.drop("_counts", "_shares")
+
+
 def pipeline_of(
     model: BayesModel, *, terms: str = "terms", label: str = "label"
 ) -> PipelineModel | None:
@@ -215,21 +246,8 @@ def pipeline_of(
     ).fit(means)
     bayes.setFeaturesCol("_weights").setPredictionCol("_label_id")
     bayes.setRawPredictionCol("").setProbabilityCol("")
-    return PipelineModel(
-        [
-            CountVectorizerModel.from_vocabulary(
-                [row["term"] for row in vocabulary], inputCol=terms, outputCol="_counts"
-            ),
-            Normalizer(p=1.0, inputCol="_counts", outputCol="_shares"),
-            ElementwiseProduct(
-                scalingVec=Vectors.dense([row["idf"] for row in vocabulary]),
-                inputCol="_shares",
-                outputCol="_weights",
-            ),
-            bayes,
-            IndexToString(inputCol="_label_id", outputCol=label, labels=names),
-        ]
-    )
+    decode = IndexToString(inputCol="_label_id", outputCol=label, labels=names)
+    return PipelineModel([vectorizer(vocabulary, terms, "_weights"), bayes, decode])
 
 
 def classify(

@@ -38,16 +38,13 @@ class Lexicon:
     def from_words(cls, spark: SparkSession, words: Sequence[str]) -> Lexicon:
         """From a list: empty entries are dropped, of a repeated one the last position counts."""
         last = {kw: i for i, kw in enumerate(words) if kw}
-        ordered = sorted(last, key=last.__getitem__)
-        table = spark.createDataFrame(
-            pa.table(
-                {
-                    "kw_id": pa.array([last[kw] for kw in ordered], pa.int32()),
-                    "kw": pa.array(ordered, pa.string()),
-                }
-            )
-        )
-        return cls(table, _if_compilable(ordered))
+        return cls._from_rows(spark, sorted((i, kw) for kw, i in last.items()))
+
+    @classmethod
+    def _from_rows(cls, spark: SparkSession, rows: list[tuple[int, str]]) -> Lexicon:
+        ids, words = zip(*rows, strict=True) if rows else ((), ())
+        local = pa.table({"kw_id": pa.array(ids, pa.int32()), "kw": pa.array(words, pa.string())})
+        return cls(spark.createDataFrame(local), _if_compilable(words))
 
     @classmethod
     def from_table(cls, table: DataFrame) -> Lexicon:
@@ -65,8 +62,7 @@ class Lexicon:
         if size["n"] > MAX_WORDS or size["bytes"] > MAX_BYTES:
             return cls(kept)
         rows = kept.collect()  # bounded by the check above
-        ordered = [row["kw"] for row in sorted(rows, key=lambda row: row["kw_id"])]
-        return cls(kept, _if_compilable(ordered))
+        return cls._from_rows(table.sparkSession, sorted(map(tuple, rows)))
 
     @cached_property
     def is_small(self) -> bool:

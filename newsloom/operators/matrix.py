@@ -63,8 +63,7 @@ def multiply_rows(rows: DataFrame, b: DataFrame) -> DataFrame:
     Each row is finished where it is read: no join and no shuffle of ``rows``. A ``b`` above
     the limit takes the way of :func:`matmul` first.
     """
-    size = b.agg(F.count(F.lit(1)).alias("n")).join(shape(b)).first()
-    n_rows, n_cols = size["n_rows"], size["n_cols"]
+    n_rows, n_cols = shape(b).first()
     if n_rows * n_cols > MAX_LOCAL_CELLS:
         return _gather(rows, matmul(cells(rows), b, small=False), n_cols)
     columns = F.sequence(F.lit(0), F.lit(n_cols - 1))
@@ -85,9 +84,8 @@ def multiply_rows(rows: DataFrame, b: DataFrame) -> DataFrame:
     )
 
     def add(total: Column, cell: Column) -> Column:
-        return F.zip_with(
-            total, F.get(F.col("_b"), cell["col"]), lambda t, v: t + cell["value"] * v
-        )
+        row = F.coalesce(F.get(F.col("_b"), cell["col"]), zeros)
+        return F.zip_with(total, row, lambda t, v: t + cell["value"] * v)
 
     return rows.withColumn("_b", local).select(
         "row", F.aggregate("entries", zeros, add).alias("values")

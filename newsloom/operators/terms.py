@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 from newsloom.functions import text as T
 from newsloom.lineage import materialize
 from newsloom.operators.joins import lookup
+from newsloom.operators.lexicon import Lexicon
 from newsloom.operators.matching import Key, exploded
 
+#: Vocabularies up to this size are tested for inside a row.
+MAX_VOCABULARY = 20_000
+
 
 def numbered(df: DataFrame, group: Column, order: list[str], name: str) -> DataFrame:
     """Number rows from 0 by ``group`` and then ``order``.
@@ -78,26 +82,32 @@ def document_ratio(tokenized: DataFrame) -> DataFrame:
     return counts.withColumn("ratio", F.col("n_docs") / count_rows(tokenized))
 
 
-def known_term_counts(
-    tokenized: DataFrame, idf: DataFrame, *, key: Key = ("doc_id",), small: bool | None = None
-) -> DataFrame:
-    """``key, term, n`` and the columns of ``idf`` for the terms that ``idf`` knows.
-
-    The terms of a document are counted inside its row.
-    """
-    counts = tokenized.select(*key, F.inline(T.term_counts(F.col("terms"))))
-    return lookup(counts, idf, "term", small=small)
+def small_vocabulary(idf: DataFrame, lexicon: Lexicon) -> list[str] | None:
+    """The terms of a written idf table, if the dictionary bounds them; else None."""
+    if lexicon.words is None or len(lexicon.words) > MAX_VOCABULARY:
+        return None
+    return [row["term"] for row in idf.select("term").collect()]
 
 
 def tfidf(
-    tokenized: DataFrame, idf: DataFrame, *, key: Key = ("doc_id",), small: bool | None = None
+    tokenized: DataFrame,
+    idf: DataFrame,
+    *,
+    key: Key = ("doc_id",),
+    small: bool | None = None,
+    vocabulary: list[str] | None = None,
 ) -> DataFrame:
     """``key, term, weight``: share of the term among the known terms of the text, times idf.
 
-    Terms without an idf are dropped before the share is taken. ``small`` says that ``idf`` is
-    bounded by a dictionary measured to be small.
+    Terms without an idf are dropped before the share is taken: in the row if the terms of
+    ``idf`` are given as a short ``vocabulary``, else by a join and a sum per key. ``small``
+    says that ``idf`` is bounded by a dictionary measured to be small.
     """
-    known = known_term_counts(tokenized, idf.select("term", "idf"), key=key, small=small)
+    if vocabulary is not None:
+        known = F.filter("terms", lambda term: term.isin(vocabulary))
+        return tfidf_in_corpus(tokenized.withColumn("terms", known), idf, key=key, small=small)
+    counts = tokenized.select(*key, F.inline(T.term_counts(F.col("terms"))))
+    known = lookup(counts, idf.select("term", "idf"), "term", small=small)
     total = F.sum("n").over(Window.partitionBy(*key))
     return known.select(*key, "term", (F.col("n") / total * F.col("idf")).alias("weight"))
 

@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
-from newsloom.lineage import fresh_path
+from newsloom.lineage import fresh_path, materialize
 from newsloom.operators import bayes, cooccurrence, embeddings, keywords, matrix, terms
 from newsloom.operators.lexicon import Lexicon
 from newsloom.operators.matching import with_terms
@@ -272,12 +273,28 @@ def tfidf(dictionary: Dictionary) -> Query:
 def tfidf_new_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations weighted with the idf of the documents: unknown terms drop out first."""
     lexicon = _lexicon(spark, sf_dir)
-    idf = terms.custom_idf(_tokenized(spark, sf_dir, lexicon))
+    idf = materialize(terms.custom_idf(_tokenized(spark, sf_dir, lexicon)), "idf")
     turns = with_terms(_corpora(spark, sf_dir)["conversations"], lexicon, key=("id", "part"))
-    weights = terms.tfidf(turns, idf, key=("id", "part"), small=lexicon.is_small)
+    weights = terms.tfidf(
+        turns,
+        idf,
+        key=("id", "part"),
+        small=lexicon.is_small,
+        vocabulary=terms.small_vocabulary(idf, lexicon),
+    )
     return weights.withColumn("weight", F.round("weight", 9))
 
 
+def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weights as sparse vectors, listed as ``doc_id, term_id, weight``."""
+    tokenized = _tokenized(spark, sf_dir, _keywords(spark, sf_dir))
+    vectors = bayes.tfidf_vectors(tokenized, bayes.train(tokenized))
+    listed = vectors.select(
+        "doc_id", F.posexplode(vector_to_array("weights")).alias("term_id", "weight")
+    )
+    return listed.where(F.col("weight") != 0).withColumn("weight", F.round("weight", 9))
+
+
 # Classification
 
 
@@ -361,7 +378,7 @@ def _matrix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         .groupBy("row", "col")
         .agg(F.sum(F.col("v").cast("double")).alias("value"))
     )
-    return rows, sums
+    return rows, materialize(sums, "label-sums")
 
 
 def matmul(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -539,6 +556,7 @@ def all_queries() -> dict[str, Query]:
         "tfidf": tfidf(_keywords),
         "lexicon_tfidf": tfidf(_lexicon),
         "tfidf_new_texts": tfidf_new_texts,
+        "tfidf_vectors": tfidf_vectors,
         "nb_model": nb_model(_keywords),
         "lexicon_nb_model": nb_model(_lexicon),
         "nb_priors": nb_priors,

@@ -328,6 +328,18 @@ def all_oracles() -> dict[str, str]:
                    round(c.n / sum(c.n) OVER (PARTITION BY c.id, c.part) * i.idf, 9) AS weight
             FROM ncounts c JOIN idf i USING (term)""",
         ),
+        "tfidf_vectors": _with(
+            keywords,
+            _TOKENS,
+            _WEIGHTS,
+            """
+            ids AS (
+              SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_id
+              FROM idf
+            )""",
+            select="""
+            SELECT doc_id, term_id, round(weight, 9) AS weight FROM weights JOIN ids USING (term)""",
+        ),
         "nb_model": _nb_model(keywords),
         "lexicon_nb_model": _nb_model(lexicon),
         "nb_priors": _with(

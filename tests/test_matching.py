@@ -130,6 +130,22 @@ def test_occurrences_do_not_overlap(texts):
     assert [(row["aa"], row["p"]) for row in counted] == [(2, 0), (0, 0), (0, 0), (0, 2)]
 
 
+@pytest.mark.parametrize("alphabet", ["ab", "abcd", "a.上𝒳"])
+def test_keyword_counts_against_loops(texts, alphabet, monkeypatch):
+    rng = random.Random(alphabet)
+    for _ in range(4):
+        keywords, strings = random_case(rng, alphabet)
+        df = texts(*strings)
+        for few in (0, 1000):
+            monkeypatch.setattr(T, "FEW_KEYWORDS", few)
+            counts = T.keyword_counts(F.col("text"), keywords)
+            for row in df.select("doc_id", counts.alias("c")).collect():
+                text = strings[row["doc_id"]]
+                assert {c["kw"]: c["n"] for c in row["c"]} == {
+                    kw: text.count(kw) for kw in keywords if kw in text
+                }
+
+
 def test_term_counts(spark):
     df = spark.createDataFrame([(["b", "a", "b"],), ([],), (["c"],)], "t array<string>")
     rows = df.select(T.term_counts(F.col("t")).alias("c")).collect()

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
@@ -108,6 +109,9 @@ def test_shares_sum_to_one_and_both_weightings_agree(tokenized):
     sums = terms.tfidf(tokenized, ones, small=True).groupBy("doc_id").agg(F.sum("weight").alias("s"))
     assert all(math.isclose(row["s"], 1.0) for row in sums.collect())
     same = terms.tfidf(tokenized, idf, small=True).collect()
+    vocabulary = [r["term"] for r in idf.collect()]
+    in_row = terms.tfidf(tokenized, idf, small=True, vocabulary=vocabulary).collect()
+    assert sorted(in_row) == sorted(same)
     assert sorted(same) == sorted(terms.tfidf_in_corpus(tokenized, idf, small=True).collect())
     shuffled = terms.tfidf(tokenized, idf, small=False).collect()
     assert sorted(shuffled) == sorted(same)
@@ -116,8 +120,12 @@ def test_shares_sum_to_one_and_both_weightings_agree(tokenized):
 def test_unknown_terms_leave_the_denominator(spark, texts):
     lex = Lexicon.from_words(spark, ["x", "y", "z"])
     idf = terms.custom_idf(with_terms(texts("x", "y"), lex))
-    weights = terms.tfidf(with_terms(texts("x z z z y"), lex), idf)
-    assert pairs(weights, "term", "weight") == [("x", 1.0), ("y", 1.0)]
+    assert sorted(terms.small_vocabulary(idf, lex)) == ["x", "y"]
+    assert terms.small_vocabulary(idf, Lexicon(lex.table, None)) is None
+    for vocabulary in (None, ["x", "y"]):
+        tok = with_terms(texts("x z z z y", "z"), lex)
+        weights = terms.tfidf(tok, idf, vocabulary=vocabulary)
+        assert pairs(weights, "term", "weight") == [("x", 1.0), ("y", 1.0)]
 
 
 def test_term_and_label_numbers(spark, tokenized):
@@ -154,7 +162,7 @@ def test_model_equals_the_library_trained_on_all_documents(tokenized):
         assert math.isclose(row["theta"], theta, abs_tol=1e-9)
     for row in model.labels.collect():
         assert math.isclose(row["prior"], library.pi[row["label_id"]], abs_tol=1e-12)
-    fitted = bayes.pipeline_of(model).stages[3]
+    fitted = bayes.pipeline_of(model).stages[1]
     for label in range(len(library.pi)):
         for term in range(len(vocabulary)):
             assert math.isclose(fitted.theta[label, term], library.theta[label, term], abs_tol=1e-9)
@@ -190,6 +198,20 @@ def test_saved_models_predict_the_same(spark, tokenized, documents, starter, tmp
     assert sum(r["n"] for r in histogram) == documents.count()
     with pytest.raises(Exception, match="already exists"):
         model.save(str(tmp_path / "m"))
+    bayes.pipeline_of(model).save(str(tmp_path / "p"))
+    pipeline = PipelineModel.load(str(tmp_path / "p"))
+    again = pipeline.transform(tokenized.select("doc_id", "terms"))
+    assert pairs(again, "doc_id", "label") == pairs(before, "doc_id", "label")
+
+
+def test_vectors_are_sparse_and_empty_without_known_terms(spark, texts, tokenized, starter):
+    model = bayes.train(tokenized)
+    found = bayes.tfidf_vectors(with_terms(texts("the the and", "?"), starter), model).collect()
+    size = model.terms.count()
+    assert [(row["weights"].size, len(row["weights"].indices)) for row in found] == [
+        (size, 2),
+        (size, 0),
+    ]
 
 
 def test_hashed_weights_use_the_smoothed_log(spark, texts):
