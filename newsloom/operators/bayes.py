@@ -224,14 +224,12 @@ def pipeline_of(
     """
     names = [row["label"] for row in model.labels.orderBy("label_id").collect()]
     most = MAX_CELLS // max(len(names), 1)
-    vocabulary = model.terms.limit(most + 1).collect()
+    vocabulary = model.terms.select("term", "idf").limit(most + 1).collect()
     if not vocabulary or len(vocabulary) > most:
         return None
-    vocabulary.sort(key=lambda row: row["term_id"])
-    sums = (
-        model.weights.join(model.terms.select("term", "term_id"), "term")
-        .groupBy("label_id")
-        .agg(F.sort_array(F.collect_list(F.struct("term_id", "weight_sum"))).alias("_row"))
+    vocabulary.sort(key=lambda row: row["term"].encode())  # the order of term ids
+    sums = model.weights.groupBy("label_id").agg(
+        F.sort_array(F.collect_list(F.struct("term", "weight_sum"))).alias("_row")
     )
     means = sums.join(model.labels, "label_id").select(
         F.col("label_id").cast("double").alias("label"),

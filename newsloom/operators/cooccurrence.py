@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.operators.joins import lookup
 from newsloom.operators.lexicon import UNKNOWN_INDEX, Lexicon
-from newsloom.operators.matching import Key, with_keywords
+from newsloom.operators.matching import Key, exploded, with_keywords
 
 
 def upper_edges(
@@ -16,38 +16,40 @@ def upper_edges(
     """``kw_id, other_id, kw, other_kw, n`` with ``kw_id < other_id``: documents with both.
 
     Documents with the same set of keywords are counted first, so the pairs of a set are formed
-    once however many copies share it, and partial sums leave each task before any shuffle.
-    (Outer ``posexplode``: see :func:`newsloom.operators.matching.exploded`.)
+    once however many copies share it. Pairs are formed of positions, not of words, and partial
+    sums leave each task before any shuffle.
     """
+    # Sets are small to store and much work to pair up: with a number of partitions of its own,
+    # this shuffle is not coalesced by size. The grouping below reuses its partitioning.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sets = (
         with_keywords(docs, lexicon, text=text, key=key)
         .groupBy("keywords")
         .agg(F.count(F.lit(1)).alias("docs"))
+        .withColumn("_set", F.sha2(F.to_json("keywords"), 256))
+        .repartition(parts, "_set")
+    )
+    ids = lexicon.table
+    words = exploded(sets, "keywords", "kw", "_set", "docs")
+    id_sets = (
+        lookup(words, ids, "kw", small=lexicon.is_small)
+        .groupBy("_set", "docs")
+        .agg(F.sort_array(F.collect_list("kw_id")).alias("ids"))
     )
     pairs = (
-        sets.select("docs", "keywords", F.posexplode_outer("keywords").alias("i", "a"))
-        .where(F.col("a").isNotNull())
+        id_sets.select("docs", "ids", F.posexplode("ids").alias("i", "kw_id"))
         .select(
             "docs",
-            "a",
-            F.explode(F.slice("keywords", F.col("i") + 2, F.size("keywords"))).alias("b"),
+            "kw_id",
+            F.explode(F.slice("ids", F.col("i") + 2, F.size("ids"))).alias("other_id"),
         )
-        .groupBy("a", "b")
+        .groupBy("kw_id", "other_id")
         .agg(F.sum("docs").alias("n"))
     )
-    ids = lexicon.table
-    first = ids.select(F.col("kw").alias("a"), F.col("kw_id").alias("a_id"))
-    second = ids.select(F.col("kw").alias("b"), F.col("kw_id").alias("b_id"))
-    with_ids = lookup(
-        lookup(pairs, first, "a", small=lexicon.is_small), second, "b", small=lexicon.is_small
-    )
-    in_order = F.col("a_id") < F.col("b_id")
-    return with_ids.select(
-        F.least("a_id", "b_id").alias("kw_id"),
-        F.greatest("a_id", "b_id").alias("other_id"),
-        F.when(in_order, F.col("a")).otherwise(F.col("b")).alias("kw"),
-        F.when(in_order, F.col("b")).otherwise(F.col("a")).alias("other_kw"),
-        "n",
+    others = ids.select(F.col("kw_id").alias("other_id"), F.col("kw").alias("other_kw"))
+    named = lookup(pairs, ids, "kw_id", small=lexicon.is_small)
+    return lookup(named, others, "other_id", small=lexicon.is_small).select(
+        "kw_id", "other_id", "kw", "other_kw", "n"
     )
 
 

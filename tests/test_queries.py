@@ -44,7 +44,7 @@ def test_scoring_is_one_scan_without_shuffle(spark):
 
 
 def test_keyword_arrays_are_computed_after_the_scan_only_once(spark):
-    for name, most in [("keyword_doc_freq", 2), ("cooccurrence", 4)]:
+    for name, most in [("keyword_doc_freq", 2), ("cooccurrence", 5)]:
         text = plan(QUERIES[name](spark, SF_DIR))
         assert text.count("Contains(text") == 17, name
         assert len(shuffles(text)) <= most
