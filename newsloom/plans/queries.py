@@ -10,7 +10,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
@@ -95,16 +95,8 @@ def _keywords(spark: SparkSession, sf_dir: str) -> Lexicon:
 def _lexicon(spark: SparkSession, sf_dir: str) -> Lexicon:
     """A dictionary that grows with the data: all benchmark words, by first item and spelling."""
     first = _words(spark, sf_dir).groupBy("kw").agg(F.min("item_id").alias("first"))
-    order = Window.partitionBy("first").orderBy("kw")
-    before = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = first.withColumn("_rank", F.row_number().over(order))
-    sizes = first.groupBy("first").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select("first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
-    return Lexicon.from_table(
-        ranked.join(offsets, "first").select(
-            (F.col("_o") + F.col("_rank") - 1).cast("int").alias("kw_id"), "kw"
-        )
-    )
+    numbered = terms.numbered(first, F.col("first"), ["kw"], "kw_id")
+    return Lexicon.from_table(numbered.select("kw_id", "kw"))
 
 
 Dictionary = Callable[[SparkSession, str], Lexicon]

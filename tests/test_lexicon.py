@@ -87,6 +87,30 @@ def test_shared_folder(spark):
         lineage.shared_folder(Cluster())
 
 
+def test_a_local_session_without_the_setting_gets_a_folder(tmp_path, monkeypatch):
+    monkeypatch.setattr(lineage.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+
+    class Context:
+        master, folder = "local[2]", None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, path):
+            self.folder = f"{path}/of-this-session"
+
+    class Local:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    assert lineage.shared_folder(Local()) == f"{tmp_path}/of-this-session"
+    assert lineage.shared_folder(Local()) == f"{tmp_path}/of-this-session"
+
+
 def test_materialize_reads_back_the_same_rows(spark):
     df = spark.range(5).selectExpr("id", "array(id) a")
     copy = lineage.materialize(df, "copy")
