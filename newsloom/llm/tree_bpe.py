@@ -1,7 +1,7 @@
 """BPE encoding and decoding of whole texts as the tokenizers library does, by tree concatenation.
 
-Words repeat, so a text is cut at places that no token spans, and each distinct part is given to
-the library once per worker; the ids of a text are joined from those of its parts.
+Words repeat, so a text is cut into the tokenizer's words, and each distinct one is given to the
+library once per worker; the ids of a text are joined from those of its words.
 
 Where text can't be split any further (a word of thousands of letters), its halves are encoded on
 their own, and so on down to short pieces. At each join a window of the last tokens on the left and
@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
 
@@ -36,12 +38,31 @@ PIECE = 1 << 15
 #: Characters of a word that the library encodes at once.
 LEAF = 256
 
-#: Distinct parts that a worker remembers before it starts anew.
-REMEMBERED = 250_000
+#: Distinct words that a worker remembers before it starts anew.
+REMEMBERED = 300_000
 
 #: Characters on whose classes and case the library and Python agree, and which compose with no other.
 PLAIN = re.compile("[\t-\r -~¡-¬®-įı-ſ]*")
 
+#: Letters and numbers among them, as the insides of a character class.
+_plain = [chr(c) for c in range(0x180) if PLAIN.fullmatch(chr(c))]
+LETTERS = "".join(c for c in _plain if unicodedata.category(c)[0] == "L")
+NUMBERS = "".join(c for c in _plain if unicodedata.category(c)[0] == "N")
+
+#: How the two kinds of tokenizer cut words (fixed values).
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^\s{L}{N}]+"
+BYTE_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _mapped_bytes() -> dict[int, str]:
+    """The character that byte-level tokenizers show each byte as: printable ones as they are."""
+    shown = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xAD)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+MAPPED = _mapped_bytes()
+
 Tokens = tuple[np.ndarray, np.ndarray]
 
 
@@ -56,53 +77,71 @@ class Encoder:
         self.tokenizer.no_padding()
         self.settings = json.loads(self.tokenizer.to_str())
         self.specials = [t["content"] for t in self.settings["added_tokens"]]
-        self.known: dict[str, tuple[bytes, str]] = {}
-        #: Whether decoding is token by token, with blanks between them.
-        self.by_token = self.tokenizer.decoder is None
-        self.cut = _cut_rule(self.settings)
+        #: Ids of words seen before, and what they decode to.
+        self.known: dict[str, bytes] = {}
+        self.texts: dict[str, str] = {}
+        self._byte_pairs = None
+        self.cut = self._cut_rule()
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encoded(text)[0], "<u4")
 
     def encoded(self, text: str, decode: bool = False) -> tuple[bytes, str]:
         """Ids as little-endian 32-bit integers, and the text they decode to if asked for."""
-        parts = self.parts(text)
-        if parts is None:
-            ids = self.words_ids(self.words(text)) if len(text) > LEAF else self.direct([text])[0]
+        # Elsewhere the classes of characters are not proven to be the same for all libraries.
+        plain = PLAIN.fullmatch(text) and not any(s in text for s in self.specials)
+        if self.cut is None or not plain:
+            if plain and self._byte_pairs is not None:
+                ids = self._byte_pairs.encode_to_numpy(text)
+            else:
+                ids = self.words_ids(self.words(text)) if len(text) > LEAF else self.direct(text)
             return ids.tobytes(), self.decoded(ids) if decode else ""
-        found = self.looked_up(parts)
-        ids = b"".join([x[0] for x in found])
-        if decode and not self.by_token:
-            return ids, self.decoded(np.frombuffer(ids, "<u4"))
-        return ids, " ".join([x[1] for x in found]) if decode else ""
-
-    def parts(self, text: str) -> list[str] | None:
-        """The text cut where no token can span, or None where that isn't proven for its characters."""
-        if self.cut is None or not PLAIN.fullmatch(text) or any(s in text for s in self.specials):
-            return None
-        return self.cut(text)
-
-    def looked_up(self, parts: list[str]) -> list[tuple[bytes, str]]:
-        """Ids of each part and the text they decode to (if that is token by token)."""
-        known = self.known
+        parts = self.cut(text)
         try:
-            return [known[p] for p in parts]
+            ids = b"".join(map(self.known.__getitem__, parts))
         except KeyError:
-            pass
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list({p for p in parts if p not in known})
-        short = [p for p in new if len(p) <= LEAF]
-        ids = dict(zip(short, self.direct(short), strict=True))
-        for p in new:
-            own = ids[p] if p in ids else self.words_ids(self.words(p))
-            known[p] = (own.tobytes(), self.decoded(own) if self.by_token else "")
-        return [known[p] for p in parts]
-
-    def direct(self, texts: list[str]) -> list[np.ndarray]:
+            self.learn(parts)
+            ids = b"".join(map(self.known.__getitem__, parts))
+        if not decode:
+            return ids, ""
+        return ids, " ".join(map(self.texts.__getitem__, parts))
+
+    def learn(self, parts: list[str]) -> None:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+            self.texts.clear()
+        model = self.tokenizer.model
+        for part in set(parts).difference(self.known):
+            if len(part) > LEAF:
+                long = self.words_ids(self.words(part))
+                self.known[part], self.texts[part] = long.tobytes(), self.decoded(long)
+            else:
+                tokens = model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(MAPPED))
+                self.known[part] = array("I", [t.id for t in tokens]).tobytes()
+                self.texts[part] = " ".join([t.value for t in tokens])
+
+    def _cut_rule(self) -> Callable[[str], list[str]] | None:
+        """How to cut plain text into the tokenizer's words, for the kind of tokenizer known here.
+
+        For a plain byte-level one no cut is needed: the same vocabulary serves in a faster library.
+        """
+        model, steps, before = (self.settings[k] for k in ("model", "normalizer", "pre_tokenizer"))
+        if model["type"] != "BPE" or model.get("dropout") or not before:
+            return None
+        names = [s["type"] for s in steps.get("normalizers", [])] if steps else []
+        if names == ["NFC", "Replace", "Lowercase"] and before["type"] == "Sequence" and self.tokenizer.decoder is None:
+            cut = before["pretokenizers"][0].get("pattern")
+            if cut == {"Regex": WORDS.replace("{L}", r"\p{L}").replace("{N}", r"\p{N}")}:
+                # White space between words is dropped, and decoding is token by token.
+                found = re.compile(WORDS.replace("{L}", LETTERS).replace("{N}", NUMBERS)).findall
+                return lambda text: found(text.lower())
+        if steps is None and before["type"] == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]:
+            self._byte_pairs = _byte_pairs(model)
+        return None
+
+    def direct(self, text: str) -> np.ndarray:
         """The library's own ids."""
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4") for e in found]
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def decoded(self, ids: np.ndarray) -> str:
         return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
@@ -197,20 +236,17 @@ def joined(
         take *= 2
 
 
-def _cut_rule(settings: dict) -> Callable[[str], list[str]] | None:
-    """How to cut a text of plain characters where no token can span, for the kinds of tokenizer known here."""
-    steps = settings["normalizer"]
-    names = [s["type"] for s in steps["normalizers"]] if steps and steps["type"] == "Sequence" else []
-    before = settings["pre_tokenizer"] or {}
-    if settings["model"]["type"] != "BPE" or settings["post_processor"] is None and settings["model"].get("dropout"):
+def _byte_pairs(model: dict):
+    """The same vocabulary in the faster tiktoken, or None if its ids don't follow the order of the merges."""
+    import tiktoken
+
+    back = {char: byte for byte, char in MAPPED.items()}
+    ranks = {bytes(back[c] for c in token): rank for token, rank in model["vocab"].items()}
+    merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+    order = [model["vocab"][m] for m in merged]
+    if order != sorted(order) or len(ranks) != len(merged) + 256:
         return None
-    if names == ["NFC", "Replace", "Lowercase"] and before.get("type") == "Sequence":
-        # White space is dropped between words.
-        return lambda text: text.lower().split()
-    if steps is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]:
-        # A blank belongs to the word behind it.
-        return re.compile(r" ?\S+|\s+(?!\S)|\s+").findall
-    return None
+    return tiktoken.Encoding("bytes", pat_str=BYTE_WORDS, mergeable_ranks=ranks, special_tokens={})
 
 
 @lru_cache(maxsize=4)
