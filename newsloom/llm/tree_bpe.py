@@ -198,8 +198,9 @@ class Encoder:
     def piece(self, mapped: str, closes: bool) -> Tokens:
         """Ids and ends of the tokens of a piece of a word; ``closes`` if the word ends with it."""
         found = (self._bytes.model if closes else self._inner).tokenize(mapped)
-        ends = np.cumsum([t.offsets[1] - t.offsets[0] for t in found])
-        return np.array([t.id for t in found], "<u4"), ends.astype(np.int64)
+        # The library's offsets count bytes; all but the mark of the word's end stands in the piece.
+        ends = np.cumsum([len(t.value) for t in found])
+        return np.array([t.id for t in found], "<u4"), np.minimum(ends, len(mapped)).astype(np.int64)
 
     def tree(self, mapped: str, closes: bool) -> Tokens:
         """The tokens of a piece, from those of its halves."""

@@ -180,7 +180,7 @@ def test_nearest_ties_few_vectors_and_empty_table(spark):
 
 def test_host_verdict_makes_rules_stricter(spark):
     clean = "all the words of this text are different from one another so it passes every rule there is"
-    weak = clean + 10 * " #"
+    weak = clean + "".join(f" #{c}" for c in "abcdefghij")
     bad = [(i, "# " * 40 + clean, "bad") for i in range(30)]
     rows = [(100, weak, "bad"), (101, weak, "good"), (102, clean, "bad"), *bad, *[(200 + i, clean, "good") for i in range(30)]]
     found = host_rules.judge(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
