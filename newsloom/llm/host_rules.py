@@ -162,4 +162,7 @@ def keep_good(docs: DataFrame, *, host: str = "source", max_host_rate: float = M
     rates = host_rates(materialize(measured(docs, host), "metrics"))
     bad = rates.select("host", (F.col("rate") > max_host_rate).alias("_bad"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    return judged(measured(docs, host, row), bad).where("kept").select("_row.*")
+    # A filter moves below what is computed for it, and would compute the words anew for each word;
+    # it does not move below a number that depends on the row's place.
+    placed = measured(docs, host, row).withColumn("_place", F.monotonically_increasing_id())
+    return judged(placed, bad).where(F.col("kept") & (F.col("_place") >= 0)).select("_row.*")
