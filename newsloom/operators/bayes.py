@@ -89,8 +89,12 @@ class BayesModel:
 def train(
     tokenized: DataFrame, *, label: str = "label", key: str = "doc_id", smoothing: float = 1.0
 ) -> BayesModel:
-    """Train on documents with ``terms`` and a label; reads the corpus once."""
-    stats = materialize(class_term_stats(tokenized, label=label, key=key), "class-terms")
+    """Train on documents with ``terms`` and a label; reads the corpus once.
+
+    Documents whose label is null are not trained on.
+    """
+    labelled = tokenized.where(F.col(label).isNotNull())
+    stats = materialize(class_term_stats(labelled, label=label, key=key), "class-terms")
     return model_of(stats, smoothing=smoothing)
 
 

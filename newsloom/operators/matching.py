@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
+from newsloom.lineage import materialize
 from newsloom.operators.joins import spread_join
 from newsloom.operators.lexicon import Lexicon
 
@@ -19,6 +20,9 @@ from newsloom.operators.lexicon import Lexicon
 ANCHORS = tuple(2**i for i in range(7))
 WINDOW = 2 * ANCHORS[-1] - 1
 
+#: The id that rows get while they are joined with a large dictionary.
+ROW = "_row_id"
+
 Key = Sequence[str]
 
 
@@ -27,19 +31,20 @@ def with_keywords(
 ) -> DataFrame:
     """Add ``keywords``: the distinct keywords contained in the text, in a fixed order.
 
-    ``key`` names the columns that identify a row; it is used for large dictionaries only.
+    Rows that repeat a key or have none are rows like any others, for dictionaries of any size.
     """
     if lexicon.words is not None:
         found = T.contained_keywords(F.col(text), lexicon.words)
         return docs.withColumn("keywords", F.coalesce(found, T.no_strings()))
+    docs = _identified(docs)
     per_doc = (
-        keyword_positions(docs, lexicon, text=text, key=key)
-        .select(*key, "kw")
+        keyword_positions(docs, lexicon, text=text, key=(ROW,))
+        .select(ROW, "kw")
         .distinct()
-        .groupBy(*key)
+        .groupBy(ROW)
         .agg(F.sort_array(F.collect_list("kw")).alias("keywords"))
     )
-    return _attach(docs, per_doc, "keywords", key)
+    return _attach(docs, per_doc, "keywords")
 
 
 def with_terms(
@@ -52,15 +57,16 @@ def with_terms(
     if lexicon.words is not None:
         found = T.dictionary_tokens(F.col(text), lexicon.words)
         return docs.withColumn("terms", F.coalesce(found, T.no_strings()))
+    docs = _identified(docs)
     best = (
-        keyword_positions(docs, lexicon, text=text, key=key)
-        .groupBy(*key, "pos")
+        keyword_positions(docs, lexicon, text=text, key=(ROW,))
+        .groupBy(ROW, "pos")
         .agg(F.max_by("kw", "kw_id").alias("kw"))
     )
-    per_doc = best.groupBy(*key).agg(
+    per_doc = best.groupBy(ROW).agg(
         _without_overlaps(F.sort_array(F.collect_list(F.struct("pos", "kw")))).alias("terms")
     )
-    return _attach(docs, per_doc, "terms", key)
+    return _attach(docs, per_doc, "terms")
 
 
 def exploded(df: DataFrame, array: str, name: str, *keep: str) -> DataFrame:
@@ -139,6 +145,13 @@ def _without_overlaps(matches: Column) -> Column:
     return F.aggregate(matches, start, take, lambda state: state["terms"])
 
 
-def _attach(docs: DataFrame, per_doc: DataFrame, name: str, key: Key) -> DataFrame:
-    joined = docs.join(per_doc, list(key), "left")
-    return joined.select(*docs.columns, F.coalesce(name, T.no_strings()).alias(name))
+def _identified(docs: DataFrame) -> DataFrame:
+    """The rows with an id of their own, written once, as keys of the caller may repeat or be null."""
+    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "identified")
+
+
+def _attach(docs: DataFrame, per_doc: DataFrame, name: str) -> DataFrame:
+    columns = [c for c in docs.columns if c not in (ROW, name)]
+    return docs.join(per_doc, ROW, "left").select(
+        *[docs[c] for c in columns], F.coalesce(per_doc[name], T.no_strings()).alias(name)
+    )

@@ -35,13 +35,24 @@ def transpose(matrix: DataFrame) -> DataFrame:
 
 
 def shape(matrix: DataFrame) -> DataFrame:
-    """``n_rows, n_cols``: one more than the highest indices."""
+    """``n_rows, n_cols``: one more than the highest indices of the cells that are there.
+
+    Cells without zeros don't show zero rows and columns at the end; see :func:`dense_shape`.
+    """
     return matrix.agg(
         (F.coalesce(F.max("row"), F.lit(-1)) + 1).cast("bigint").alias("n_rows"),
         (F.coalesce(F.max("col"), F.lit(-1)) + 1).cast("bigint").alias("n_cols"),
     )
 
 
+def dense_shape(rows: DataFrame, values: str) -> DataFrame:
+    """``n_rows, n_cols`` of a matrix whose rows are arrays, zeros included."""
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(F.max(F.size(values)), F.lit(0)).cast("bigint").alias("n_cols"),
+    )
+
+
 def matmul(a: DataFrame, b: DataFrame, *, small: bool | None = None) -> DataFrame:
     """The product of two cell tables of any size, as cells.
 
@@ -57,13 +68,22 @@ def matmul(a: DataFrame, b: DataFrame, *, small: bool | None = None) -> DataFram
     )
 
 
-def multiply_rows(rows: DataFrame, b: DataFrame) -> DataFrame:
+def multiply_rows(
+    rows: DataFrame, b: DataFrame, *, b_shape: tuple[int, int] | None = None
+) -> DataFrame:
     """Sparse rows times a small matrix: ``row, values`` with ``values array<double>``.
 
     Each row is finished where it is read: no join and no shuffle of ``rows``. A ``b`` above
-    the limit takes the way of :func:`matmul` first.
+    the limit takes the way of :func:`matmul` first. ``b_shape`` is needed where ``b`` ends with
+    rows or columns of zeros. An entry of ``rows`` beyond the rows of ``b`` is an error; with a
+    ``b`` without columns every row of the product is empty.
     """
-    n_rows, n_cols = shape(b).first()
+    n_rows, n_cols = b_shape or shape(b).first()
+    widest = rows.agg(F.max(F.array_max(F.transform("entries", lambda e: e["col"])))).first()[0]
+    if widest is not None and widest >= n_rows:
+        raise ValueError(f"the left matrix has {widest + 1} columns or more, the right one {n_rows} rows")
+    if not n_cols:
+        return rows.select("row", F.array().cast("array<double>").alias("values"))
     if n_rows * n_cols > MAX_LOCAL_CELLS:
         return _gather(rows, matmul(cells(rows), b, small=False), n_cols)
     columns = F.sequence(F.lit(0), F.lit(n_cols - 1))

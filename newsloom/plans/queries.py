@@ -392,7 +392,8 @@ def transpose(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def matrix_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matrix.shape(matrix.cells(_matrix(spark, sf_dir)[0]))
+    vectors = read_table(spark, f"{sf_dir}/embeddings.parquet", spread_by="vec_id")
+    return matrix.dense_shape(vectors, "embedding")
 
 
 def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from newsloom.operators.joins import lookup
 from newsloom.operators.matrix import sparse_entries
 from newsloom.operators.terms import numbered
 
@@ -12,28 +13,38 @@ BYTE_ORDER_MARK = "\ufeff"
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, text``: one document per line; ids are unique and follow the order of lines."""
-    return spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("doc_id"), F.col("value").alias("text")
+    """``doc_id, text``: one document per line; ids are unique and follow path and order of lines."""
+    return _placed_lines(spark, path).select(
+        F.col("place").alias("doc_id"), F.col("value").alias("text")
     )
 
 
 def read_labelled(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, label, text, line`` from tab-separated lines; ``line`` follows their order.
+    """``doc_id, label, text, line`` from tab-separated lines; ``line`` follows path and order.
 
-    Fields beyond the third are ignored. Lines with fewer fields or an empty text are left out.
+    Fields beyond the third are ignored. An empty label is null. Lines with fewer than three
+    fields or an empty text are left out here; :func:`rejected_lines` gives them.
     """
     fields = F.split("value", "\t", 4)
     return (
-        spark.read.text(path)
-        .select(fields.alias("f"), F.monotonically_increasing_id().alias("line"))
+        _placed_lines(spark, path)
+        .select(fields.alias("f"), F.col("place").alias("line"))
+        .where(F.get("f", F.lit(2)) != "")
         .select(
             F.get("f", F.lit(0)).alias("doc_id"),
-            F.get("f", F.lit(1)).alias("label"),
+            F.nullif(F.get("f", F.lit(1)), F.lit("")).alias("label"),
             F.get("f", F.lit(2)).alias("text"),
             "line",
         )
-        .where(F.col("text") != "")
+    )
+
+
+def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``line, value``: the lines of a labelled file that :func:`read_labelled` leaves out."""
+    return (
+        _placed_lines(spark, path)
+        .where(F.coalesce(F.get(F.split("value", "\t", 4), F.lit(2)), F.lit("")) == "")
+        .select(F.col("place").alias("line"), "value")
     )
 
 
@@ -57,8 +68,8 @@ def read_segmented(spark: SparkSession, path: str) -> DataFrame:
 
 def read_sparse_rows(spark: SparkSession, path: str) -> DataFrame:
     """``row, entries``: lines of numbers as sparse rows, with ids in the order of lines."""
-    return spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("row"),
+    return _placed_lines(spark, path).select(
+        F.col("place").alias("row"),
         sparse_entries(_numbers("value")).alias("entries"),
     )
 
@@ -102,6 +113,29 @@ def _numbers(line: str) -> Column:
     return F.transform(F.split(F.rtrim(line), " "), lambda n: n.cast("double"))
 
 
+def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``place, value``: lines with numbers that are unique and follow path, then order of lines.
+
+    Spark deals files to tasks by size, so a row's place in its task says nothing about the order
+    of files. The splits, a row each, are sorted by path and start; a line's number is that of its
+    split, then its place in the task, which grows along a split. Lines are not shuffled.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_at"),
+    )
+    order = Window.orderBy("_path", "_start")
+    splits = lines.select("_path", "_start").distinct().select(
+        F.struct("_path", "_start").alias("_split"), (F.row_number().over(order) - 1).cast("bigint").alias("_number")
+    )
+    placed = lookup(lines.withColumn("_split", F.struct("_path", "_start")), splits, "_split")
+    return placed.select(
+        (F.shiftleft("_number", 33) + F.col("_at")).alias("place"), "value"
+    )
+
+
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).select(
         "value",

@@ -381,10 +381,7 @@ def all_oracles() -> dict[str, str]:
         "matmul": _with(_MATRIX, select=_PRODUCT),
         "row_matrix_multiply": _with(_MATRIX, select=_PRODUCT),
         "transpose": _with(_MATRIX, select='SELECT col AS "row", "row" AS col, value FROM a'),
-        "matrix_shape": _with(
-            _MATRIX,
-            select='SELECT max("row") + 1 AS n_rows, CAST(max(col) + 1 AS BIGINT) AS n_cols FROM a',
-        ),
+        "matrix_shape": "SELECT count(*) AS n_rows, max(len(embedding)) AS n_cols FROM embeddings",
         "nearest_vectors": """
             WITH asked AS (
               SELECT vec_id, embedding FROM embeddings

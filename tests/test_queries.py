@@ -4,10 +4,12 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from newsloom.plans.queries import all_queries
+from oracle_queries import all_oracles
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = all_queries()
+ORACLE = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +28,7 @@ def test_every_query_but_the_trained_vectors_has_sql(spark):
 
 
 def test_entry(spark):
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
     assert entry.entry(spark).columns == ["n", "kw"]
 
 
