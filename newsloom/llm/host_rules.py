@@ -156,13 +156,10 @@ def judged(metrics: DataFrame, bad: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, *, host: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns.
 
-    Hosts are judged first; then every row is measured again where it stands, so that no text is
-    shuffled unless the hosts are too many to be broadcast.
+    Every text is measured once: rows are written with their measures, from which only the measures
+    are read for the hosts' sums. No text is shuffled unless the hosts are too many to be broadcast.
     """
-    rates = host_rates(materialize(measured(docs, host), "metrics"))
-    bad = rates.select("host", (F.col("rate") > max_host_rate).alias("_bad"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    # A filter moves below what is computed for it, and would compute the words anew for each word;
-    # it does not move below a number that depends on the row's place.
-    placed = measured(docs, host, row).withColumn("_place", F.monotonically_increasing_id())
-    return judged(placed, bad).where(F.col("kept") & (F.col("_place") >= 0)).select("_row.*")
+    rows = materialize(measured(docs, host, row), "measured-rows")
+    bad = host_rates(rows).select("host", (F.col("rate") > max_host_rate).alias("_bad"))
+    return judged(rows, bad).where(F.col("kept")).select("_row.*")
