@@ -5,8 +5,8 @@ linked, and documents are grouped by the connected components of the links.
 
 Finding the links: two fingerprints that differ in at most three bits agree in one of four blocks
 of 16 bits. Each distinct fingerprint goes once to the bucket of each of its blocks, with that
-block turned to the front. A task holds many buckets and builds one index over them: fingerprints
-sorted by Gray rank, every ``FAN`` neighbours under a node, and so on upwards. A node keeps the bits
+block turned to the front. A task takes its buckets in order, about ``INDEXED`` fingerprints at a
+time and never a part of a bucket, and builds one index over them: fingerprints sorted by Gray rank, every ``FAN`` neighbours under a node, and so on upwards. A node keeps the bits
 on which all below it agree; bits that a node shares with its parent are kept in the parent only, so
 a search adds up differences from the top down and leaves a node, with all below it, as soon as
 they pass the limit. Where all below a node of one bucket is certainly within the limit, one link
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,9 @@ MAX_BITS = 3
 #: Buckets with more distinct fingerprints than this are cut by further bits.
 HOT_BUCKET = 100_000
 
+#: Fingerprints of one index, but for the rest of the last bucket.
+INDEXED = 1 << 20
+
 #: Children of an index node; most pairs of a query and its bucket's codes searched at a time.
 FAN = 8
 SEARCHED = 1 << 21
@@ -226,6 +230,25 @@ def _buckets(distinct: DataFrame, hot_bucket: int) -> DataFrame:
     return plain.unionByName(deeper)
 
 
+def whole_buckets(batches: Iterator[pa.RecordBatch], least: int = INDEXED) -> Iterator[pa.Table]:
+    """Tables of about ``least`` rows that cut no bucket, from batches ordered by ``bucket``."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += len(batch)
+        if n < least:
+            continue
+        table = pa.Table.from_batches(held)
+        names = table.column("bucket")
+        # What stands before the last bucket, which may go on in the next batch.
+        done = pc.index(names, names[-1]).as_py()
+        if done:
+            yield table.slice(0, done)
+            held, n = table.slice(done).to_batches(), n - done
+    if n:
+        yield pa.Table.from_batches(held)
+
+
 def links(fps: DataFrame, *, max_bits: int = MAX_BITS, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """``u, v``: pairs of fingerprints whose transitive closure is that of all links.
 
@@ -236,17 +259,14 @@ def links(fps: DataFrame, *, max_bits: int = MAX_BITS, hot_bucket: int = HOT_BUC
     buckets = _buckets(fps.select("fp").distinct(), hot_bucket)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if not sum(map(len, held)):
-            return
-        table = pa.Table.from_batches(held)
-        fp = table.column("fp").to_numpy()
-        code = table.column("code").to_numpy().view(np.uint64)
-        names = table.column("bucket").combine_chunks().dictionary_encode()
-        a, b = local_links(names.indices.to_numpy(), code, max_bits)
-        yield pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], names=["u", "v"])
-
-    spread = buckets.repartition("bucket")
+        for table in whole_buckets(batches):
+            fp = table.column("fp").to_numpy()
+            code = table.column("code").to_numpy().view(np.uint64)
+            names = table.column("bucket").combine_chunks().dictionary_encode()
+            a, b = local_links(names.indices.to_numpy(), code, max_bits)
+            yield pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], names=["u", "v"])
+
+    spread = buckets.repartition("bucket").sortWithinPartitions("bucket")
     return spread.mapInArrow(run, "u bigint, v bigint").distinct()
 
 
