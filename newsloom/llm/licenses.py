@@ -8,7 +8,8 @@ ones merged, and the merged span is verified by the share of the template's k-gr
 The k-grams themselves are compared, not only their hashes, so a vote is never an accident.
 
 Defined cases: a null text is an empty text; texts of fewer than k words have no hit; rows are
-grouped by ``doc_id``, so rows that repeat a ``doc_id`` each return the sums over all of them;
+grouped by ``doc_id``, so rows that repeat a ``doc_id`` each return the sums over all of them, and
+so do rows whose ``doc_id`` is null;
 extra columns of the input are not looked at; an empty table gives an empty result.
 """
 
@@ -131,7 +132,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + FUZZY) -> Dat
     coverage = F.col("n_held") / F.col("n_grams")
     verified = F.when(F.col("base"), F.col("n_base") > 0).otherwise(coverage >= MIN_COVERAGE)
     label = F.col("label")
-    found = spans.groupBy("doc_id").agg(
+    found = spans.groupBy(F.col("doc_id").alias("_doc")).agg(
         F.sum("n_base").alias("n_base"),
         F.min("first_word").alias("first_word"),
         F.max("last_word").alias("last_word"),
@@ -141,7 +142,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = BASE + FUZZY) -> Dat
     )
     return (
         docs.select("doc_id", F.size(words_of(F.col("text"))).cast("bigint").alias("n_words"))
-        .join(found, "doc_id", "left")
+        .join(found, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
         .select(
             "doc_id",
             "n_words",

@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from newsloom.llm import (
     components,
@@ -82,6 +83,13 @@ def test_license_places(docs):
     assert rows[2]["n_words"] == 0 and rows[2]["first_word"] is None and rows[2]["labels"] == ""
 
 
+def test_license_of_a_row_without_an_id(spark):
+    rows = [(None, "under the MIT license"), (1, "no such words")]
+    found = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert (found[None]["n_base"], found[None]["first_word"], found[None]["labels"]) == (1, 2, "mit")
+    assert (found[1]["n_base"], found[1]["labels"]) == (0, "")
+
+
 def test_license_with_words_changed(spark):
     text = "permission is hereby also granted free of charge to any person obtaining a copy of that software"
     row = licenses.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
@@ -109,6 +117,16 @@ def test_links_equal_all_pairs(spark, n, near, hot):
     assert [roots.get(s[0], s[0]) for s in signed] == expected
 
 
+def test_index_takes_whole_buckets_at_a_time():
+    names = ["a"] * 3 + ["b"] + ["c"] * 9 + ["d", "e"]
+    table = pa.table({"bucket": names, "fp": list(range(len(names)))})
+    parts = list(simhash.whole_buckets(iter(table.to_batches(max_chunksize=2)), least=4))
+    assert pa.concat_tables(parts).to_pydict() == table.to_pydict()
+    held = [set(p.column("bucket").to_pylist()) for p in parts]
+    assert len(parts) > 2 and sum(map(len, held)) == len(set(names))
+    assert list(simhash.whole_buckets(iter([]))) == []
+
+
 def test_gray_neighbours_differ_in_one_bit():
     ranks = np.arange(1000, dtype=np.uint64)
     assert np.array_equal(simhash.gray_rank(ranks ^ (ranks >> np.uint64(1))), ranks)
