@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
 from newsloom.lineage import materialize
-from newsloom.operators.joins import spread_join
+from newsloom.operators.joins import lookup
 from newsloom.operators.lexicon import Lexicon
 
 #: Keywords are joined on their first 1, 2, 4, ... 64 characters.
@@ -86,6 +86,8 @@ def keyword_positions(
     A keyword of length n is found through its first characters, as many as the largest anchor
     not above n. That anchor covers more than half of it, and the window of text that goes with
     a position covers the rest, so only very long keywords are compared with the text again.
+    The keywords go to every task if measured to be small, so that no position is shuffled;
+    larger dictionaries are joined by shuffling.
     """
     length = F.length("kw")
     anchored = lexicon.table.withColumn(
@@ -118,16 +120,20 @@ def keyword_positions(
         )
     )
     found = (
-        spread_join(grams, keywords, "_gram")
+        lookup(grams, keywords, "_gram")
         .where(F.startswith("_window", F.substring("kw", F.lit(1), F.lit(WINDOW))))
         .select(*key, "pos", "kw_id", "kw")
     )
     if (shape["longest"] or 0) > WINDOW:
-        found = (
-            found.join(docs.select(*key, F.col(text).alias("_text")), list(key))
+        # Only what a very long keyword may have begun meets its text again.
+        is_long = F.length("kw") > WINDOW
+        checked = (
+            found.where(is_long)
+            .join(docs.select(*key, F.col(text).alias("_text")), list(key))
             .where(F.substr("_text", F.col("pos") + 1, F.length("kw")) == F.col("kw"))
             .drop("_text")
         )
+        found = found.where(~is_long).unionByName(checked)
     return found
 
 

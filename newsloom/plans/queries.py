@@ -99,6 +99,11 @@ def _lexicon(spark: SparkSession, sf_dir: str) -> Lexicon:
     return Lexicon.from_table(numbered.select("kw_id", "kw"))
 
 
+def _joined(spark: SparkSession, sf_dir: str) -> Lexicon:
+    """The same dictionary, treated as too large for a pattern."""
+    return Lexicon(_lexicon(spark, sf_dir).table, None)
+
+
 Dictionary = Callable[[SparkSession, str], Lexicon]
 
 
@@ -522,6 +527,7 @@ def all_queries() -> dict[str, Query]:
     return {
         "keyword_doc_freq": keyword_doc_freq(_keywords),
         "lexicon_doc_freq": keyword_doc_freq(_lexicon),
+        "joined_doc_freq": keyword_doc_freq(_joined),
         "keyword_occurrences": keyword_occurrences(_keywords),
         "lexicon_occurrences": keyword_occurrences(_lexicon),
         "pair_count": pair_count,
@@ -540,6 +546,7 @@ def all_queries() -> dict[str, Query]:
         "dictionary_size": dictionary_size,
         "dict_tokens": dict_tokens(_keywords),
         "lexicon_tokens": dict_tokens(_lexicon),
+        "joined_tokens": dict_tokens(_joined),
         "term_dictionary": term_dictionary(_keywords),
         "lexicon_term_dictionary": term_dictionary(_lexicon),
         "label_dictionary": label_dictionary,

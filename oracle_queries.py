@@ -219,6 +219,7 @@ def all_oracles() -> dict[str, str]:
     return {
         "keyword_doc_freq": _document_frequency(keywords),
         "lexicon_doc_freq": _document_frequency(lexicon),
+        "joined_doc_freq": _document_frequency(lexicon),
         "keyword_occurrences": _occurrences(keywords),
         "lexicon_occurrences": _occurrences(lexicon),
         "pair_count": _pair_counts(),
@@ -292,6 +293,7 @@ def all_oracles() -> dict[str, str]:
         ),
         "dict_tokens": _tokens(keywords),
         "lexicon_tokens": _tokens(lexicon),
+        "joined_tokens": _tokens(lexicon),
         "term_dictionary": _term_dictionary(keywords),
         "lexicon_term_dictionary": _term_dictionary(lexicon),
         "label_dictionary": """
