@@ -87,15 +87,17 @@ def keyword_counts(text: Column, keywords: Sequence[str]) -> Column:
     if len(keywords) <= FEW_KEYWORDS:
         found = contained_keywords(text, keywords)
         return F.transform(found, lambda kw: counted(kw, occurrences(text, kw)))
-    starts = F.concat(
-        *[
-            _overlapping(text, patterns.longest_first(layer))
-            for layer in patterns.prefix_layers(keywords)
-        ]
-    )
+    longest = _overlapping(text, patterns.longest_first(keywords))
+    starts = term_counts(F.filter(longest, lambda word: word != ""))
+    layers = [f"^(?:{patterns.longest_first(layer)})" for layer in patterns.prefix_layers(keywords)]
+    if len(layers) > 1:
+        # What begins at a position is a prefix of the longest keyword there: one pass over the
+        # text counts the longest ones, and their counts are handed to the shorter ones.
+        begun = let(starts, lambda s: F.concat(*[_counted_prefixes(s, at) for at in layers]))
+        starts = _summed(F.filter(begun, lambda c: c["term"] != ""))
     # Starts overlap only where a keyword ends as it begins; only then is it counted by itself.
     return F.transform(
-        term_counts(starts),
+        starts,
         lambda c: counted(
             c["term"],
             F.when(
@@ -105,6 +107,38 @@ def keyword_counts(text: Column, keywords: Sequence[str]) -> Column:
     )
 
 
+def _counted_prefixes(counts: Column, pattern: str) -> Column:
+    """The beginning of each ``term`` that matches, empty if none does, with the same count."""
+    return F.transform(
+        counts,
+        lambda c: F.struct(
+            F.regexp_extract(c["term"], pattern, 0).alias("term"), c["n"].alias("n")
+        ),
+    )
+
+
+def _summed(counts: Column) -> Column:
+    """``array<struct<term, n>>``: the counts of each term added up, ordered by term."""
+
+    def runs(ordered: Column) -> Column:
+        firsts = F.filter(
+            F.transform(ordered, lambda c, i: i),
+            lambda i: (i == 0) | (F.get(ordered, i)["term"] != F.get(ordered, i - 1)["term"]),
+        )
+        return let(firsts, lambda at: F.transform(at, lambda first, k: total(ordered, at, first, k)))
+
+    def total(ordered: Column, at: Column, first: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(at, k + 1), F.size(ordered))
+        n = F.aggregate(
+            F.slice(ordered, first + 1, end - first),
+            F.lit(0).cast("bigint"),
+            lambda so_far, c: so_far + c["n"],
+        )
+        return F.struct(F.get(ordered, first)["term"].alias("term"), n.alias("n"))
+
+    return let(F.sort_array(counts), runs)
+
+
 def _ends_as_it_begins(word: Column) -> Column:
     sizes = F.sequence(F.lit(1), F.length(word) - 1)
     same = F.exists(sizes, lambda i: F.left(word, i) == F.right(word, i))
@@ -133,4 +167,7 @@ def term_counts(terms: Column) -> Column:
         )
 
     empty = F.array().cast("array<struct<term:string,n:bigint>>")
-    return F.when(F.size(terms) > 0, let(F.sort_array(terms), runs)).otherwise(empty)
+    # Sorted before it is tested, so that a computed array is not computed twice.
+    return let(
+        F.sort_array(terms), lambda t: F.when(F.size(t) > 0, let(t, runs)).otherwise(empty)
+    )

@@ -24,7 +24,7 @@ from newsloom.lineage import materialize
 from newsloom.operators.joins import lookup
 from newsloom.operators.lexicon import Lexicon
 from newsloom.operators.matching import Key, with_terms
-from newsloom.operators.terms import numbered
+from newsloom.operators.terms import numbered_by_range
 
 #: Models up to this many label-term cells are held by the ML pipeline; larger ones are joined.
 MAX_CELLS = 2_000_000
@@ -122,7 +122,7 @@ def model_of(stats: DataFrame, *, smoothing: float = 1.0) -> BayesModel:
             F.map_from_entries(F.collect_list(F.struct("label", "share"))).alias("_shares"),
         )
     )
-    terms = numbered(per_term.select("term", "idf"), F.substring("term", 1, 2), ["term"], "term_id")
+    terms = numbered_by_range(per_term.select("term", "idf"), ["term"], "term_id")
     all_labels = counted.agg(F.collect_list("label")).scalar()
     share = F.coalesce(F.col("_shares")[F.col("label")], F.lit(0.0))
     grid = per_term.select(
@@ -207,10 +207,15 @@ def vectorizer(vocabulary: Sequence[Row], terms: str, output: str) -> PipelineMo
 
 
 def tfidf_vectors(tokenized: DataFrame, model: BayesModel, *, output: str = "weights") -> DataFrame:
-    """Add the weights of each text as a sparse vector in the order of ``model.terms``."""
+    """Add the weights of each text as a sparse vector in the order of ``model.terms``.
+
+    Without any terms the vectors are empty.
+    """
     vocabulary = model.terms.limit(MAX_CELLS + 1).collect()
-    if not 0 < len(vocabulary) <= MAX_CELLS:
-        raise ValueError("use tfidf() for empty vocabularies and very large ones")
+    if not vocabulary:
+        return tokenized.withColumn(output, array_to_vector(F.array().cast("array<double>")))
+    if len(vocabulary) > MAX_CELLS:
+        raise ValueError("use tfidf() for very large vocabularies")
     vocabulary.sort(key=lambda row: row["term_id"])
     vectors = vectorizer(vocabulary, "terms", output).transform(tokenized)
     return vectors.drop("_counts", "_shares")

@@ -84,6 +84,27 @@ def partner_ids(edge_table: DataFrame, kw_id: int) -> DataFrame:
     return edge_table.where(F.col("kw_id") == kw_id).select("other_id", "n")
 
 
+def partners_in(
+    docs: DataFrame, lexicon: Lexicon, kw: str, *, text: str = "text", key: Key = ("doc_id",)
+) -> DataFrame:
+    """``other_id, other_kw, n``: the partners of a keyword, straight from the documents.
+
+    Only documents that contain the keyword are matched, and no pairs are formed: the same rows as
+    from the table of all edges, for the price of a filter and a count. Empty if the keyword isn't
+    in the dictionary.
+    """
+    known = not lexicon.table.where(F.col("kw") == kw).isEmpty()
+    having = docs.where(F.contains(F.col(text), F.lit(kw)) & F.lit(known))
+    counts = (
+        exploded(with_keywords(having, lexicon, text=text, key=key), "keywords", "kw")
+        .where(F.col("kw") != kw)
+        .groupBy("kw")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    named = lookup(counts, lexicon.table, "kw", small=lexicon.is_small)
+    return named.select(F.col("kw_id").alias("other_id"), F.col("kw").alias("other_kw"), "n")
+
+
 def partner_count(edge_table: DataFrame, lexicon: Lexicon, asked: DataFrame) -> DataFrame:
     """``kw, n_partners`` for the keywords asked for: -1 where a keyword is unknown."""
     counts = edge_table.groupBy("kw").agg(F.count(F.lit(1)).alias("_n"))

@@ -40,12 +40,41 @@ def numbered(df: DataFrame, group: Column, order: list[str], name: str) -> DataF
     )
 
 
+def numbered_by_range(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Number rows from 0 by ``order``, whatever the values look like.
+
+    Rows are cut into ranges of about equal size, so no task gets more than its share; only one
+    number per range is summed up in one place. Rows are written once with their ranks, so that
+    all parts of the plan see the same ranges.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = materialize(
+        df.repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        # The lower 33 bits number the rows of a partition.
+        .select(
+            *df.columns,
+            F.spark_partition_id().alias("_range"),
+            F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_rank"),
+        ),
+        "ranked",
+    )
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranked.groupBy("_range")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    )
+    # One row per range: as many as shuffle partitions, whatever the input.
+    return ranked.join(F.broadcast(offsets), "_range").select(
+        *df.columns, (F.col("_offset") + F.col("_rank")).cast("int").alias(name)
+    )
+
+
 def term_dictionary(tokenized: DataFrame) -> DataFrame:
     """``term_id, term``: the distinct terms, numbered from 0 in ascending order."""
     terms = materialize(exploded(tokenized, "terms", "term").distinct(), "terms")
-    return numbered(terms, F.substring("term", 1, 2), ["term"], "term_id").select(
-        "term_id", "term"
-    )
+    return numbered_by_range(terms, ["term"], "term_id").select("term_id", "term")
 
 
 def label_dictionary(docs: DataFrame, *, label: str = "label", key: str = "doc_id") -> DataFrame:

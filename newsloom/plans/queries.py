@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
+from newsloom.functions.vectors import sparse_entries
 from newsloom.lineage import fresh_path, materialize
 from newsloom.operators import bayes, cooccurrence, embeddings, keywords, matrix, terms
 from newsloom.operators.lexicon import Lexicon
@@ -182,11 +182,17 @@ def partner_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partners_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cooccurrence.partners_of(_edges(spark, sf_dir), ASKED_KEYWORD)
+    found = cooccurrence.partners_in(
+        _documents(spark, sf_dir), _keywords(spark, sf_dir), ASKED_KEYWORD
+    )
+    return found.select("other_kw", "n").orderBy("n", "other_kw")
 
 
 def partner_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cooccurrence.partner_ids(_edges(spark, sf_dir), ASKED_POSITION)
+    lexicon = _keywords(spark, sf_dir)
+    asked = spark.createDataFrame([(ASKED_POSITION,)], "kw_id int")
+    kw = lexicon.keyword_at(asked).first()["kw"]
+    return cooccurrence.partners_in(_documents(spark, sf_dir), lexicon, kw).select("other_id", "n")
 
 
 def keyword_report(dictionary: Dictionary) -> Query:
@@ -286,9 +292,7 @@ def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weights as sparse vectors, listed as ``doc_id, term_id, weight``."""
     tokenized = _tokenized(spark, sf_dir, _keywords(spark, sf_dir))
     vectors = bayes.tfidf_vectors(tokenized, bayes.train(tokenized))
-    listed = vectors.select(
-        "doc_id", F.posexplode(vector_to_array("weights")).alias("term_id", "weight")
-    )
+    listed = vectors.select("doc_id", F.inline(sparse_entries("weights", "term_id", "weight")))
     return listed.where(F.col("weight") != 0).withColumn("weight", F.round("weight", 9))
 
 

@@ -14,10 +14,10 @@ def write(path, text):
 
 
 def test_dictionary(spark, tmp_path):
-    path = write(tmp_path / "d.txt", "﻿萬海 n\n集美 v x\n\n車險\n集美\n")
+    path = write(tmp_path / "d.txt", "﻿山路 n\n河口 v x\n\n長橋\n河口\n")
     rows = sorted(map(tuple, files.read_dictionary(spark, path).collect()))
-    assert rows == [(0, "萬海"), (1, "集美"), (3, "車險"), (4, "集美")]
-    assert Lexicon.from_table(files.read_dictionary(spark, path)).words == ("萬海", "車險", "集美")
+    assert rows == [(0, "山路"), (1, "河口"), (3, "長橋"), (4, "河口")]
+    assert Lexicon.from_table(files.read_dictionary(spark, path)).words == ("山路", "長橋", "河口")
 
 
 def test_dictionary_positions_over_many_splits(spark, tmp_path):

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from newsloom.operators import embeddings, matrix
 from newsloom.sources import files
 
-LEFT = "0 -1 2\n4 11 2\n"
-RIGHT = "3 -1\n1 2\n6 1\n"
+LEFT = "1 0 -2\n5 3 4\n"
+RIGHT = "2 2\n-1 -3\n4 1\n"
 
 
 @pytest.fixture
@@ -26,7 +26,7 @@ def cells(df):
 
 def test_product_of_the_sample(sample, monkeypatch):
     rows, right = sample
-    expected = {0: [11.0, 0.0], 1: [35.0, 20.0]}
+    expected = {0: [-6.0, 0.0], 1: [23.0, 5.0]}
     assert {r["row"]: r["values"] for r in matrix.multiply_rows(rows, right).collect()} == expected
     product = matrix.matmul(matrix.cells(rows), right)
     assert cells(product) == {(r, c): expected[r][c] for r in (0, 1) for c in (0, 1)}

@@ -35,46 +35,58 @@ def test_document_frequency_counts_documents_and_sorts(spark, texts):
 
 @pytest.fixture
 def sample(spark, texts):
-    """Documents with the keyword sets of the walk-through: 20 keywords, ten documents."""
-    lex = Lexicon.from_words(spark, [f"<{i}>" for i in range(20)])
-    sets = [(0, 1), (2, 3, 4, 5), (), (2, 6, 7, 8, 9), (10,), (11, 12), (), (13, 14), (15, 16),
-            (17, 18, 19)]
+    """Documents with six sets of twelve keywords: empty, single, and three that share none."""
+    lex = Lexicon.from_words(spark, [f"<{i}>" for i in range(12)])
+    sets = [(1, 4), (0, 5, 7, 11), (3,), (), (2, 6, 8), (9, 10)]
     return lex, ["".join(f"<{i}>" for i in s) for s in sets]
 
 
-def test_adjacency_of_the_walk_through(sample, texts):
+def test_adjacency_of_the_sets(sample, texts):
     lex, strings = sample
     rows = cooccurrence.adjacency(cooccurrence.upper_edges(texts(*strings), lex)).collect()
     assert {row["kw_id"]: sorted(row["neighbours"]) for row in rows} == {
-        0: [1], 2: [3, 4, 5, 6, 7, 8, 9], 3: [4, 5], 4: [5], 6: [7, 8, 9], 7: [8, 9], 8: [9],
-        11: [12], 13: [14], 15: [16], 17: [18, 19], 18: [19],
+        0: [5, 7, 11], 1: [4], 2: [6, 8], 5: [7, 11], 6: [8], 7: [11], 9: [10],
     }
     doubled = cooccurrence.upper_edges(texts(*strings, *strings), lex)
     assert {row["n"] for row in doubled.collect()} == {2}
     wide = {row["kw_id"]: row for row in cooccurrence.adjacency(doubled).collect()}
-    assert wide[17]["n_pairs"] == 4
+    assert wide[2]["n_pairs"] == 4
     sparse = {row["kw_id"]: row for row in cooccurrence.adjacency_rows(doubled).collect()}
-    assert (sparse[6]["indices"], sparse[6]["counts"]) == ([7, 8, 9], [2, 2, 2])
+    assert (sparse[5]["indices"], sparse[5]["counts"]) == ([7, 11], [2, 2])
 
 
 def test_partners(spark, sample, texts):
     lex, strings = sample
-    edges = cooccurrence.edges(texts(*strings, strings[9]), lex)
-    assert [tuple(r) for r in cooccurrence.partners_of(edges, "<2>").limit(2).collect()] == [
-        ("<3>", 1),
-        ("<4>", 1),
+    edges = cooccurrence.edges(texts(*strings, strings[4]), lex)
+    assert [tuple(r) for r in cooccurrence.partners_of(edges, "<0>").limit(2).collect()] == [
+        ("<11>", 1),
+        ("<5>", 1),
     ]
     assert cooccurrence.partners_of(edges, "unknown").collect() == []
-    top = cooccurrence.partners_of(edges, "<17>", ascending=False).first()
-    assert tuple(top) == ("<19>", 2)
-    assert pairs(cooccurrence.partner_ids(edges, 17), "other_id", "n") == [(18, 2), (19, 2)]
-    asked = spark.createDataFrame([("<2>",), ("<10>",), ("unknown",)], "kw string")
+    top = cooccurrence.partners_of(edges, "<2>", ascending=False).first()
+    assert tuple(top) == ("<8>", 2)
+    assert pairs(cooccurrence.partner_ids(edges, 2), "other_id", "n") == [(6, 2), (8, 2)]
+    asked = spark.createDataFrame([("<0>",), ("<3>",), ("unknown",)], "kw string")
     counts = cooccurrence.partner_count(edges, lex, asked)
-    assert dict(pairs(counts, "kw", "n_partners")) == {"<2>": 7, "<10>": 0, "unknown": -1}
+    assert dict(pairs(counts, "kw", "n_partners")) == {"<0>": 3, "<3>": 0, "unknown": -1}
     report = {r["kw"]: r for r in cooccurrence.keyword_report(edges, lex).collect()}
-    assert len(report) == 20
-    assert report["<10>"]["n_partners"] == 0 and report["<10>"]["partners"] == ""
-    assert report["<18>"]["partners"] == "<17>:2,<19>:2"
+    assert len(report) == 12
+    assert report["<3>"]["n_partners"] == 0 and report["<3>"]["partners"] == ""
+    assert report["<6>"]["partners"] == "<2>:2,<8>:2"
+
+
+@pytest.mark.parametrize("kw", [*KEYWORDS[:6], "ing", "zzzqq", "not in the dictionary"])
+def test_partners_in_documents_are_those_of_the_edges(documents, starter, kw):
+    edges = cooccurrence.edges(documents, starter)
+    found = cooccurrence.partners_in(documents, starter, kw)
+    expected = pairs(edges.where(F.col("kw") == kw), "other_id", "other_kw", "n")
+    assert pairs(found, "other_id", "other_kw", "n") == expected
+
+
+def test_partners_in_documents_form_no_pairs(documents, starter):
+    found = cooccurrence.partners_in(documents, starter, "the")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "other_id" not in plan.split("Exchange", 1)[1] and "posexplode" not in plan
 
 
 def test_cooccurrence_is_symmetric_and_bounded(documents, starter):
@@ -222,3 +234,36 @@ def test_hashed_weights_use_the_smoothed_log(spark, texts):
     got = pairs(found, "doc_id", "term", "weight")
     assert [g[:2] for g in got] == [e[:2] for e in expected]
     assert all(math.isclose(g[2], e[2]) for g, e in zip(got, expected, strict=True))
+
+
+def test_hashed_weights_of_a_large_dictionary(spark, texts, monkeypatch):
+    small = Lexicon.from_words(spark, ["x", "y", "z"])
+    tok = with_terms(texts("x x y", "y", "z z"), small)
+    model = embeddings.fit_hashing_tfidf(tok, num_features=2)
+    large = Lexicon(small.table)
+    assert large.words is None
+    expected = pairs(embeddings.hashed_weights(model, tok, small), "doc_id", "term", "weight")
+    assert expected and any("|" in e[1] for e in expected)
+    assert pairs(embeddings.hashed_weights(model, tok, large), "doc_id", "term", "weight") == expected
+
+
+def test_vectors_of_an_empty_vocabulary_are_empty(spark, texts, starter):
+    tokenized = with_terms(texts("?", "!").withColumn("label", F.lit("a")), starter)
+    found = bayes.tfidf_vectors(tokenized, bayes.train(tokenized)).collect()
+    assert [len(row["weights"]) for row in found] == [0, 0]
+
+
+@pytest.mark.parametrize(
+    "words",
+    [
+        [f"same beginning {i:04d}" for i in range(300)],
+        [chr(0x4E00 + i) for i in range(300)],
+        ["\U0001d4b3", "\uff5e", "a", ""],
+        [],
+    ],
+)
+def test_numbers_follow_the_order_whatever_the_beginnings(spark, words):
+    df = spark.createDataFrame([(w,) for w in reversed(words)], "term string")
+    found = terms.numbered_by_range(df, ["term"], "term_id").collect()
+    ordered = sorted(words, key=str.encode)
+    assert {row["term"]: row["term_id"] for row in found} == {w: i for i, w in enumerate(ordered)}
