@@ -19,7 +19,7 @@ agree in one of four blocks of 12, so each of those is a bucket of its own. Noth
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -289,12 +289,19 @@ def near_duplicates(docs: DataFrame, *, max_bits: int = MAX_BITS, hot_bucket: in
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of its group, one row per group.
+def one_of_each(docs: DataFrame, *, grouped: Callable[..., DataFrame] = near_duplicates, **options) -> DataFrame:
+    """One row of each near-duplicate group of ``docs``: that of the smallest ``doc_id``.
 
-    Of rows that repeat a ``doc_id`` the smallest row stays, so all columns must be comparable.
+    Rows are told apart by ids of their own, written once, so rows whose ``doc_id`` is null or
+    repeats are judged by their own texts. Of a group a row without ``doc_id`` stays only if no other
+    has one. ``grouped`` gives ``doc_id, component_id`` for rows of ``doc_id, text``.
     """
-    found = near_duplicates(docs, **options)
-    firsts = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(firsts, docs["doc_id"].eqNullSafe(firsts["doc_id"]), "left_semi")
-    return kept.groupBy(F.col("doc_id").alias("_key")).agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    row, doc_id = F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.col("_row.doc_id")
+    rows = materialize(docs.select(row.alias("_row"), F.monotonically_increasing_id().alias("_id")), "identified")
+    found = grouped(rows.select(F.col("_id").alias("doc_id"), F.col("_row.text").alias("text")), **options)
+    members = rows.select("_id", doc_id.isNull().alias("_unnamed"), doc_id.alias("_doc")).join(
+        found.select(F.col("doc_id").alias("_id"), "component_id"), "_id"
+    )
+    firsts = members.groupBy("component_id").agg(F.min(F.struct("_unnamed", "_doc", "_id")).alias("_first"))
+    kept = firsts.select(F.col("_first._id").alias("_id"))
+    return rows.join(kept, "_id", "left_semi").select("_row.*")

@@ -1,0 +1,21 @@
+"""Cases in which an operator once did less than its whole job."""
+
+from newsloom.llm import simhash
+
+ROWS = "doc_id bigint, text string"
+A = "the quick brown fox jumps over the lazy dog near the old river bank at dawn"
+B = "seven wise owls keep a silent watch while heavy snow falls upon northern hills"
+C = "fresh bread and salted butter were served to every guest of the village inn"
+
+
+def kept(spark, rows, **options):
+    found = simhash.one_of_each(spark.createDataFrame(rows, ROWS), **options)
+    return sorted((r["doc_id"] or 0, r["text"]) for r in found.collect())
+
+
+def test_one_of_each_keeps_unlike_rows_without_ids(spark):
+    assert kept(spark, [(None, A), (None, B), (None, C), (None, A), (5, C)]) == [(0, B), (0, A), (5, C)]
+
+
+def test_one_of_each_keeps_unlike_rows_of_one_id(spark):
+    assert kept(spark, [(1, A), (1, B), (7, B)]) == [(1, B), (1, A)]
