@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.lineage import materialize
-from newsloom.llm import host_rules, packing, pii, simhash, site_lines
+from newsloom.llm import host_rules, near_copies, packing, pii, simhash, site_lines
 from newsloom.llm.queries import tokenizer_path
 
 
@@ -32,7 +32,7 @@ def boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
-    return simhash.one_of_each(docs)
+    return simhash.one_of_each(docs, grouped=near_copies.grouped)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

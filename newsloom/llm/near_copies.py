@@ -1,0 +1,241 @@
+"""Near copies by the Jaccard similarity of word shingles, none left out.
+
+Two texts are linked if the sets of their shingles of ``SHINGLE_WORDS`` words have a Jaccard
+similarity of ``SIMILARITY`` or more; groups are the connected components of the links. A limit on
+the bits of a fingerprint can't find all such links: at 0.8 about ten of 64 bits differ, too many
+for blocks that must agree. So fingerprints only find the nearest copies, and an index of shingles
+the rest:
+
+- Texts with equal sets are one node.
+- All shingles are put in one order, that of their hashes, but those in many texts last. Sets of
+  n and m shingles with a similarity of s share one of the first ``n - ceil(s * n) + 1`` of one and the
+  first ``m - ceil(s * m) + 1`` of the other, so only these are indexed.
+- First round: SimHash links of fingerprints, and each text with the first one of each of its
+  shingles. These are not more than the rows of the index, also where a great many copies meet.
+- Second round: pairs that share an indexed shingle, could be similar enough by their numbers of
+  shingles and the places of the shared one, and aren't in one component after the first round.
+
+Candidates of both rounds are checked on their whole sets. Shingles are compared by 64-bit hashes.
+
+Defined cases: words are split as for SimHash; a null text is empty; texts without words are one
+group; a text of fewer words than a shingle is one shingle; an empty table gives an empty result.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from newsloom.lineage import materialize
+from newsloom.llm import simhash
+from newsloom.llm.components import components
+from newsloom.operators.joins import lookup
+from newsloom.sizes import fits_broadcast
+
+SHINGLE_WORDS = 5
+
+#: The Jaccard similarity of a link as a fraction, so that limits are exact.
+SIMILARITY = (4, 5)
+
+#: Shingles indexed for more texts than this come last in the order, the most common ones at the
+#: end, but no more shingles than the second number. Neither changes what is found.
+COMMON = 16
+COMMON_KEPT = 1 << 20
+COUNTED = np.dtype([("shingle", np.uint64), ("texts", np.int64)])
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """The hashes of a text's shingles, in the order of the text."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    digest = xxhash.xxh64_intdigest
+    hashes = np.array([digest(w, simhash.SEED) for w in words], np.uint64)
+    width = min(SHINGLE_WORDS, len(words))
+    n = len(words) - width + 1
+    mixed = np.full(n, width, np.uint64)
+    for i in range(width):
+        mixed = _mix(mixed + hashes[i : i + n])
+    return mixed
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """A one-to-one map of 64-bit numbers that scatters neighbours (the finish of SplitMix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """The SimHash of shingles as a signed integer."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), simhash.HASH_BLOCK):
+        some = hashes[at : at + simhash.HASH_BLOCK].astype("<u8")
+        bits = np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets of shingles are linked."""
+    part, whole = SIMILARITY
+    if whole * min(len(a), len(b)) < part * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return whole * both >= part * (len(a) + len(b) - both)
+
+
+def indexed(found: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Those of a set's shingles that a similar set must share one of, in order.
+
+    ``common`` has the number of texts of each common shingle and is sorted by shingle.
+    """
+    part, whole = SIMILARITY
+    ordered = found
+    if len(common) and len(found):
+        at = np.minimum(np.searchsorted(common["shingle"], found), len(common) - 1)
+        rank = np.where(common["shingle"][at] == found, common["texts"][at], 0)
+        ordered = found[np.argsort(rank, kind="stable")]
+    return ordered[: len(found) - -(-part * len(found) // whole) + 1] if len(found) else found
+
+
+def _measured(rows: DataFrame) -> DataFrame:
+    """``id, fp, same``: the fingerprint, and a digest of the set of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, digests = [], []
+            for text in batch.column(1).to_pylist():
+                hashes = shingles(text)
+                fps.append(fingerprint(hashes))
+                digests.append(hashlib.blake2b(np.unique(hashes).tobytes(), digest_size=16).digest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(fps, pa.int64()), pa.array(digests, pa.binary())], names=["id", "fp", "same"]
+            )
+
+    return rows.select("id", "text").mapInArrow(run, "id bigint, fp bigint, same binary")
+
+
+def _index(texts: DataFrame, common: np.ndarray) -> DataFrame:
+    """``shingle, id, n, place``: the indexed shingles of every text, its number of them, the place in its order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Some texts at a time, as their shingles take more room than they do.
+            for at in range(0, len(batch), 256):
+                ids, texts_ = (batch.column(k).slice(at, 256) for k in (0, 1))
+                sets = [np.unique(shingles(t)) for t in texts_.to_pylist()]
+                some = [indexed(found, common) for found in sets]
+                each = [len(first) for first in some]
+                columns = (
+                    np.concatenate(some).view(np.int64),
+                    np.repeat(ids.to_numpy(), each),
+                    np.repeat([len(found) for found in sets], each),
+                    np.concatenate([np.arange(k) for k in each]),
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in columns], names=["shingle", "id", "n", "place"]
+                )
+
+    return texts.select("id", "text").mapInArrow(run, "shingle bigint, id bigint, n bigint, place bigint")
+
+
+def _shared(held: DataFrame) -> DataFrame:
+    """Rows of the index whose shingle has others, with the number of shingles and id of its first text."""
+    along = W.partitionBy("shingle").orderBy("n", "id")
+    marked = held.select(
+        "*",
+        F.first("n").over(along).alias("head_n"),
+        F.first("id").over(along).alias("head"),
+        F.lead("id").over(along).alias("_next"),
+    )
+    return materialize(marked.where("id <> head OR _next IS NOT NULL").drop("_next"), "shared-shingles")
+
+
+def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of the pairs ``u, v`` whose texts are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, held = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            keep = []
+            for u, a, b in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
+                if u != before:
+                    before, held = u, np.unique(shingles(a))
+                keep.append(similar(held, np.unique(shingles(b))))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["u", "v"]
+            )
+
+    pairs = materialize(pairs, "candidates")
+    ids = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
+    needed = materialize(lookup(texts, ids, "id"), "candidate-texts")
+    both = pairs.join(needed.select(F.col("id").alias("v"), F.col("text").alias("b")), "v").join(
+        needed.select(F.col("id").alias("u"), F.col("text").alias("a")), "u"
+    )
+    return materialize(both.select("u", "v", "a", "b").mapInArrow(run, "u bigint, v bigint"), "similar")
+
+
+def grouped(docs: DataFrame, *, common: int = COMMON) -> DataFrame:
+    """``doc_id, component_id`` for every row of ``docs (doc_id, text)``, whose ids must be unique.
+
+    ``component_id`` is one of the ids of the group.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
+    measured = materialize(_measured(rows), "measured")
+    # Texts with equal sets stand for one another.
+    nodes = materialize(measured.groupBy("same").agg(F.min("id").alias("node"), F.min("fp").alias("fp")), "nodes")
+    ids = nodes.select(F.col("node").alias("id"))
+    small = fits_broadcast(ids)
+    texts = lookup(rows, ids, "id", small=small)
+    texts = texts if small else materialize(texts, "node-texts")
+    held = _shared(_index(texts, np.zeros(0, COUNTED)))
+    counts = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") > common)
+    most = counts.orderBy(F.desc("texts"), "shingle").limit(COMMON_KEPT).toArrow()
+    if len(most):
+        hot = np.zeros(len(most), COUNTED)
+        hot["shingle"] = most.column("shingle").to_numpy().view(np.uint64)
+        hot["texts"] = most.column("texts").to_numpy()
+        hot.sort(order="shingle")
+        held = _shared(_index(texts, hot))
+    part, whole = SIMILARITY
+    stars = held.where((F.col("id") != F.col("head")) & (whole * F.col("head_n") >= part * F.col("n")))
+    stars = stars.select(F.col("head").alias("u"), F.col("id").alias("v"))
+    of_fp = nodes.groupBy("fp").agg(F.min("node").alias("first"))
+    equal = nodes.join(of_fp, "fp").where("node <> first").select(F.col("first").alias("u"), F.col("node").alias("v"))
+    near = (
+        simhash.links(nodes)
+        .join(of_fp.select(F.col("fp").alias("u"), F.col("first").alias("a")), "u")
+        .join(of_fp.select(F.col("fp").alias("v"), F.col("first").alias("b")), "v")
+        .select(F.col("a").alias("u"), F.col("b").alias("v"))
+    )
+    tried = stars.union(equal).union(near).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    first = _checked(tried, texts)
+    roots = components(first).withColumnRenamed("node", "id")
+    told = held.select("shingle", "id", "n", "place").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    # Where all are in one component already no pair is left to be found.
+    open_ = told.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    told = materialize(told.join(open_.select("shingle"), "shingle", "left_semi"), "open-shingles")
+    a = told.select("shingle", *[F.col(c).alias(f"a_{c}") for c in ("id", "n", "place", "root")])
+    b = told.select("shingle", *[F.col(c).alias(f"b_{c}") for c in ("id", "n", "place", "root")])
+    # At the first shared place so many more can be shared at most.
+    most = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
+    could = (whole + part) * most >= part * (F.col("a_n") + F.col("b_n"))
+    pairs = (
+        a.join(b, "shingle")
+        .where((F.col("a_id") < F.col("b_id")) & (F.col("a_root") != F.col("b_root")) & could)
+        .select(F.col("a_id").alias("u"), F.col("b_id").alias("v"))
+        .distinct()
+    )
+    second = _checked(pairs, texts)
+    last = components(first.union(second)).select(F.col("node"), F.col("root"))
+    named = nodes.join(last, "node", "left").select("same", F.coalesce("root", "node").alias("component_id"))
+    return measured.join(named, "same").select(F.col("id").alias("doc_id"), "component_id")

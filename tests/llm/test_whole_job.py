@@ -1,6 +1,10 @@
 """Cases in which an operator once did less than its whole job."""
 
-from newsloom.llm import simhash
+import random
+
+import corpus_pipeline
+import pytest
+from newsloom.llm import near_copies, simhash
 
 ROWS = "doc_id bigint, text string"
 A = "the quick brown fox jumps over the lazy dog near the old river bank at dawn"
@@ -19,3 +23,50 @@ def test_one_of_each_keeps_unlike_rows_without_ids(spark):
 
 def test_one_of_each_keeps_unlike_rows_of_one_id(spark):
     assert kept(spark, [(1, A), (1, B), (7, B)]) == [(1, B), (1, A)]
+
+
+def copies(seed):
+    """Texts, some of them others with a few words changed; short, empty and null ones."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.choice([5, 9, 40, 200]))) for _ in range(60)]
+    for _ in range(240):
+        words = rng.choice(texts).split()
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        texts.append(" ".join(words[: len(words) - rng.choice([0, 0, 1, 3])] or ["one"]))
+    return texts + ["", None, " ", "one", "One", "a b c d", "a b c d e"]
+
+
+def jaccard_groups(texts):
+    """The smallest place that each text reaches over pairs with a similarity of 0.8 or more."""
+    sets = []
+    for text in texts:
+        words = (text or "").lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if (5 * len(a & b) >= 4 * len(a | b)) and root[i] != root[j]:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize(("seed", "common"), [(1, 1000), (2, 3)])
+def test_near_copies_equal_all_pairs(spark, seed, common):
+    texts = copies(seed)
+    docs = spark.createDataFrame(list(enumerate(texts)), ROWS)
+    found = {r["doc_id"]: r["component_id"] for r in near_copies.grouped(docs, common=common).collect()}
+    firsts = {}
+    for i in range(len(texts)):
+        firsts.setdefault(found[i], i)
+    assert [firsts[found[i]] for i in range(len(texts))] == jaccard_groups(texts)
+
+
+def test_pipeline_keeps_one_of_each_jaccard_group(spark):
+    texts = copies(3)
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    stage = dict(corpus_pipeline.STAGES)["SimHash near-dedup"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, "").collect()) == sorted(set(jaccard_groups(texts)))
