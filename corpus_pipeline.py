@@ -14,6 +14,11 @@ from newsloom.llm import host_rules, near_copies, packing, pii, simhash, site_li
 from newsloom.llm.queries import tokenizer_path
 
 
+#: Lines on three pages of a small host are boilerplate if they pass the ratio; two pages may be near
+#: copies of one another, which a later stage takes care of.
+BOILERPLATE_PAGES = 3
+
+
 def _recounted(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``docs`` with these columns, ``n_chars`` counted anew."""
     counted = docs.withColumn("n_chars", F.length("text").cast("bigint"))
@@ -27,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the lines that are boilerplate of their host."""
-    return _recounted(site_lines.drop_boilerplate(docs), docs.columns)
+    return _recounted(site_lines.drop_boilerplate(docs, min_pages=BOILERPLATE_PAGES), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,3 +70,11 @@ def test_pipeline_keeps_one_of_each_jaccard_group(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     stage = dict(corpus_pipeline.STAGES)["SimHash near-dedup"]
     assert sorted(r["doc_id"] for r in stage(spark, docs, "").collect()) == sorted(set(jaccard_groups(texts)))
+
+
+def test_pipeline_drops_boilerplate_of_small_hosts(spark):
+    rows = [(i, f"menu\nown line {i}", "en", "small", 0) for i in range(9)]
+    rows += [(20 + i, f"teaser\nother line {i}" if i < 2 else f"other line {i}", "en", "few", 0) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    texts = {r["doc_id"]: r["text"] for r in dict(corpus_pipeline.STAGES)["line dedup"](spark, docs, "").collect()}
+    assert texts[0] == "own line 0" and texts[20] == "teaser\nother line 0"
