@@ -51,7 +51,19 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 NUMBERS = re.compile(r"([0-9]++)(?:\.([0-9]++)\.([0-9]++)\.([0-9]++))?")
 DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: What an IBAN may begin: found at every start, as the run may go on behind its end.
+IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}))")
+#: The characters that an IBAN of a country has; of others every end is tried.
+IBAN_LENGTHS = {
+    country: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 SECRET = re.compile(r"(?<![A-Za-z0-9_-])(?:sk|pk|ghp|AKIA|xox[a-z])[A-Za-z0-9_-]{16,200}(?![A-Za-z0-9_-])")
 
@@ -122,10 +134,29 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def own_spans(text: str) -> Iterator[tuple[str, int, int]]:
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """From each start: the country's number of characters, or the longest that the check digits confirm."""
+    done = 0
     for m in IBAN.finditer(text):
-        if mod97(m[0].replace(" ", "")):
-            yield "iban", *m.span()
+        start, run = m.start(), m[1]
+        if start < done:
+            continue
+        ends = [i + 1 for i, c in enumerate(run) if c != " "]
+        known = IBAN_LENGTHS.get(run[:2])
+        for n in (known,) if known else range(len(ends), 14, -1):
+            if n > len(ends):
+                break
+            end = start + ends[n - 1]
+            is_whole = not (text[end : end + 1].isascii() and text[end : end + 1].isalnum())
+            if is_whole and mod97(text[start:end].replace(" ", "")):
+                done = end
+                yield start, end
+                break
+
+
+def own_spans(text: str) -> Iterator[tuple[str, int, int]]:
+    for span in ibans(text):
+        yield "iban", *span
     for kind, pattern in (("ssn", SSN), ("secret", SECRET)):
         for m in pattern.finditer(text):
             yield kind, *m.span()

@@ -4,7 +4,7 @@ import random
 
 import corpus_pipeline
 import pytest
-from newsloom.llm import near_copies, simhash
+from newsloom.llm import near_copies, pii, simhash
 
 ROWS = "doc_id bigint, text string"
 A = "the quick brown fox jumps over the lazy dog near the old river bank at dawn"
@@ -78,3 +78,18 @@ def test_pipeline_drops_boilerplate_of_small_hosts(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     texts = {r["doc_id"]: r["text"] for r in dict(corpus_pipeline.STAGES)["line dedup"](spark, docs, "").collect()}
     assert texts[0] == "own line 0" and texts[20] == "teaser\nother line 0"
+
+
+@pytest.mark.parametrize("iban", ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"])
+@pytest.mark.parametrize("behind", [" BIC COBADEFFXXX", " BIC: COBADEFF", " 2024-01-05", " 7 EUR", " AND MORE", ", X", ""])
+def test_iban_before_capitals_and_digits(iban, behind):
+    text = f"IBAN {iban}{behind}"
+    assert [text[s.start : s.end] for s in pii.spans(text) if s.kind == "iban"] == [iban]
+    assert pii.masked(text) == f"IBAN [IBAN]{behind}"
+
+
+def test_iban_behind_a_run_and_of_an_unknown_country():
+    assert pii.masked("account AB12 DE89 3704 0044 0532 0130 00 X") == "account AB12 [IBAN] X"
+    n = next(n for n in range(97) if pii.mod97(f"ZZ{n:02}12345678901234"))
+    assert pii.masked(f"account ZZ{n:02}12345678901234, AND") == "account [IBAN], AND"
+    assert pii.masked("account DE89370400440532013000X") == "account DE89370400440532013000X"
