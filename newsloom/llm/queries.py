@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import (
+    alignment,
     host_rules,
     licenses,
     packing,
@@ -18,6 +19,8 @@ from newsloom.llm import (
     site_lines,
     tree_bpe,
     urls,
+    variants,
+    wrappers,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +119,23 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words, its form and its root."""
+    return variants.group(_table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of two tokenizers, aligned."""
+    return alignment.align(
+        _table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    )
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return wrappers.extract(_table(spark, sf_dir, "pages"))
+
+
 def all_queries() -> dict[str, Query]:
     own = (
         op1_license_scan,
@@ -128,5 +148,8 @@ def all_queries() -> dict[str, Query]:
         op8_line_dedup,
         op9_quality_classifier,
         op10_pii,
+        op11_spelling_variants,
+        op12_token_alignment,
+        op13_main_text,
     )
     return {f.__name__: f for f in own}
