@@ -1,14 +1,16 @@
 """Tokens of two tokenizers aligned by their bytes, with corpus-wide counts of linked ids.
 
 A byte-level BPE (A) encodes a space and the text, a sentencepiece model (B, which adds that space)
-the text. Character offsets of A and the spans of B's pieces give coarse cuts. Inside a character of
+the text. Character offsets of A's tokens and the spans of B's pieces (the library's offset mapping,
+which stands for its immutable proto of former versions) give coarse cuts. Inside a character of
 several bytes, which A's tokens may share and B may spell in byte tokens, the decoded bytes of the
 tokens refine them. Places where a token of A and one of B end together cut both into groups; two
 tokens whose byte ranges overlap are linked.
 
-A text is cut into units, a run of spaces and line feeds with what follows up to the next such run.
-No piece of either vocabulary reaches across that cut (tested when the files are loaded), so a unit
-is encoded and aligned once per worker, wherever it stands. A text with other white space is one unit.
+A text is cut into units, a run of spaces and line feeds with what follows up to the next such run,
+and the marks at the end of a word. No token of A and no piece of B reaches across these cuts (B's
+are tested when the file is loaded), so a unit is encoded and aligned once per worker, wherever it
+stands. A text with other white space is one unit.
 
 The counts take a first pass: every task adds up, over its documents, in how many each pair of ids
 is linked, and only these partial counts are shuffled. A second pass scores the documents. The
@@ -46,7 +48,11 @@ TOGETHER, BLOCK_UNITS = 64, 200_000
 #: Bytes of one pair with its numbers in memory.
 PAIR_BYTES = 24
 
+#: A run of spaces and line feeds with what follows; marks behind the letters at its end may stand apart.
 UNIT = re.compile("[ \n]*[^ \n]+|[ \n]+")
+LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", "!-/:-@\\[-`{-~"
+MARKED_UNIT = re.compile(f"[ \n]*[{LETTERS}]+(?=[{MARKS}]*(?![^ \n]))|[{MARKS}]+(?![^ \n])|[ \n]*[^ \n]+|[ \n]+")
+ENDS_IN_MARKS = re.compile(f"[{LETTERS}][{MARKS}]")
 
 #: White space that A's pattern may join with a space or line feed beside it.
 OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -105,6 +111,19 @@ def spells(units: list[str], ids: np.ndarray, n: np.ndarray, spelt: list[bytes])
     )
 
 
+class Places(dict):
+    """Numbers of units; one that is asked for the first time gets the next and is noted."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self.new.append(unit)
+        n = self[unit] = len(self)
+        return n
+
+
 class Aligner:
     """Both tokenizers, and the units met so far."""
 
@@ -128,11 +147,13 @@ class Aligner:
             bytes([int(m[1], 16)]) if (m := BYTE_PIECE.fullmatch(p)) else p.replace("\u2581", " ").encode() for p in pieces
         ]
         self.sizes_a, self.sizes_b = (np.array([len(x) for x in side]) for side in (self.bytes_a, self.bytes_b))
-        self.cuts = not any("\u2581" in p.lstrip("\u2581") or "\n" in p for p in pieces)
+        of_text = [p for i, p in enumerate(pieces) if not (self.b.is_control(i) or self.b.is_unknown(i) or self.b.is_byte(i))]
+        self.cuts = not any("\u2581" in p.lstrip("\u2581") or "\n" in p for p in of_text)
+        self.unit = UNIT if any(ENDS_IN_MARKS.search(p) for p in of_text) else MARKED_UNIT
         self.forget()
 
     def forget(self) -> None:
-        self.at: dict[str, int] = {}
+        self.at = Places()
         self.groups: list[str] = []
         # Of each unit: tokens of A and of B, groups, links, whether it can't be spelt, and where its links begin.
         self.sums = np.zeros((1024, 6), np.int64)
@@ -140,58 +161,65 @@ class Aligner:
 
     def units(self, text: str) -> list[str]:
         whole = " " + text
-        return UNIT.findall(whole) if self.cuts and not OTHER_SPACE.search(text) else [whole]
+        return self.unit.findall(whole) if self.cuts and not OTHER_SPACE.search(text) else [whole]
 
-    def learn(self, units: set[str]) -> None:
-        """Encode and align the units that are new; forgets the others if they are too many."""
-        if len(self.at) + len(units) > REMEMBERED:
-            self.forget()
-        new = [u for u in units if u not in self.at]
-        if new:
-            self._align(new)
+    def learn(self) -> None:
+        """Encode and align the units that were given a place since the last time."""
+        new, self.at.new = self.at.new, []
+        if not new:
+            return
+        first = len(self.at) - len(new)
+        while len(self.at) > len(self.sums):
+            self.sums = np.concatenate((self.sums, np.zeros_like(self.sums)))
+        self.groups += [""] * len(new)
+        self._align(new, np.arange(first, first + len(new)))
 
-    def _align(self, new: list[str]) -> None:
+    def _align(self, new: list[str], place: np.ndarray) -> None:
         of_a = self.a.encode_batch(new, add_special_tokens=False)
-        n_a = np.array([len(e.ids) for e in of_a])
+        n_a = np.array([len(e) for e in of_a])
         ids_a = np.array([i for e in of_a for i in e.ids], np.int64)
         cuts_a = np.array([x[1] for e in of_a for x in e.offsets], np.int64)
-        # B adds the space that a unit begins with; before a line feed that space is a piece of its own.
-        begun = [u[1:] if u[0] == " " else u for u in new]
-        skip = [u[0] != " " for u in new]
-        of_b = [list(e.pieces)[s:] for e, s in zip(self.b.encode(begun, return_type="proto", num_threads=1), skip, strict=True)]
-        n_b = np.array([len(pieces) for pieces in of_b])
-        ids_b = np.array([p.id for pieces in of_b for p in pieces], np.int64)
-        cuts_b = np.array([p.end for pieces in of_b for p in pieces], np.int64)
+        # B adds the space that a unit begins with. Before other units stands a line feed, which no piece holds,
+        # and what is spelt for it and the added space is left out.
+        begins = [u[0] == " " for u in new]
+        texts = [u[1:] if s else "\n" + u for u, s in zip(new, begins, strict=True)]
+        of_b = self.b.encode(texts, return_type="offset_mapping", num_threads=1)
+        out = [0 if s else 2 for s in begins]
+        ids_b = np.array([i for e, k in zip(of_b, out, strict=True) for i in (e["ids"][k:] if k else e["ids"])], np.int64)
+        cuts_b = np.array([x[1] for e, k in zip(of_b, out, strict=True) for x in (e["offsets"][k:] if k else e["offsets"])], np.int64)
+        n_b = np.array([len(e["ids"]) for e in of_b]) - np.array(out)
 
         whole = "".join(new)
         spelt = whole.encode()
-        points = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
-        bytes_at = np.concatenate(([0], np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))))
-        chars = np.concatenate(([0], np.cumsum([len(u) for u in new])))
-        base = bytes_at[chars]
         of_unit_a, of_unit_b = np.repeat(np.arange(len(new)), n_a), np.repeat(np.arange(len(new)), n_b)
-        # A's cuts count characters, B's count bytes behind the space that it adds.
-        cuts_a = bytes_at[cuts_a + chars[of_unit_a]]
-        cuts_b = cuts_b + (base[:-1] + ~np.array(skip))[of_unit_b]
-        sizes_a, sizes_b = self.sizes_a[ids_a], self.sizes_b[ids_b]
         if b"".join([self.bytes_a[i] for i in ids_a]) != spelt or b"".join([self.bytes_b[i] for i in ids_b]) != spelt:
             good = spells(new, ids_a, n_a, self.bytes_a) & spells(new, ids_b, n_b, self.bytes_b)
-            bad = [u for u, g in zip(new, good.tolist(), strict=True) if not g]
-            self._add(bad, np.array([[0, 0, 0, 0, 1, 0]] * len(bad)), [""] * len(bad), np.zeros(0, np.int64))
+            self.sums[place[~good], 4] = 1
             if good.any():
-                self._align([u for u, g in zip(new, good.tolist(), strict=True) if g])
+                self._align([u for u, g in zip(new, good.tolist(), strict=True) if g], place[good])
             return
-        ends_a, ends_b = refined(cuts_a, _shared(cuts_a), sizes_a), refined(cuts_b, _shared(cuts_b), sizes_b)
+        chars = np.concatenate(([0], np.cumsum([len(u) for u in new])))
+        # Coarse cuts count characters, those of B from behind the space that it adds, or from before the line feed.
+        cuts_a, cuts_b = cuts_a + chars[of_unit_a], cuts_b + (chars[:-1] + np.where(begins, 1, -1))[of_unit_b]
+        if not whole.isascii():
+            points = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+            bytes_at = np.concatenate(([0], np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))))
+            cuts_a, cuts_b = bytes_at[cuts_a], bytes_at[cuts_b]
+        ends_a = refined(cuts_a, _shared(cuts_a), self.sizes_a[ids_a])
+        ends_b = refined(cuts_b, _shared(cuts_b), self.sizes_b[ids_b])
         cut_a, cut_b = common_cuts(ends_a, ends_b)
         a, b = overlaps(ends_a, ends_b)
         n_links = np.bincount(of_unit_a[a], minlength=len(new))
-        of_cut = of_unit_a[cut_a - 1]
-        n_cuts = np.bincount(of_cut, minlength=len(new))
+        n_cuts = np.bincount(of_unit_a[cut_a - 1], minlength=len(new))
         listed = self._listed(ids_a.tolist(), ids_b.tolist(), cut_a.tolist(), cut_b.tolist())
         edges = np.concatenate(([0], np.cumsum(n_cuts))).tolist()
-        groups = [";".join(listed[i:j]) for i, j in zip(edges, edges[1:], strict=False)]
-        sums = np.stack([n_a, n_b, n_cuts, n_links, 0 * n_a, np.cumsum(n_links) - n_links], axis=1)
-        self._add(new, sums, groups, (ids_a[a] << 32) | ids_b[b])
+        for at, i, j in zip(place.tolist(), edges, edges[1:], strict=False):
+            self.groups[at] = listed[i] if j - i == 1 else ";".join(listed[i:j])
+        while self.n_links + len(a) > len(self.links):
+            self.links = np.concatenate((self.links, np.zeros_like(self.links)))
+        self.links[self.n_links : self.n_links + len(a)] = (ids_a[a] << 32) | ids_b[b]
+        self.sums[place] = np.stack([n_a, n_b, n_cuts, n_links, 0 * n_a, self.n_links + np.cumsum(n_links) - n_links], axis=1)
+        self.n_links += len(a)
 
     @staticmethod
     def _listed(ids_a: list[int], ids_b: list[int], cut_a: list[int], cut_b: list[int]) -> list[str]:
@@ -204,19 +232,6 @@ class Aligner:
             i, j = to_a, to_b
         return listed
 
-    def _add(self, units: list[str], sums: np.ndarray, groups: list[str], links: np.ndarray) -> None:
-        first = len(self.at)
-        while first + len(units) > len(self.sums):
-            self.sums = np.concatenate((self.sums, np.zeros_like(self.sums)))
-        while self.n_links + len(links) > len(self.links):
-            self.links = np.concatenate((self.links, np.zeros_like(self.links)))
-        self.sums[first : first + len(units)] = sums
-        self.sums[first : first + len(units), 5] += self.n_links
-        self.links[self.n_links : self.n_links + len(links)] = links
-        self.n_links += len(links)
-        self.groups += groups
-        self.at.update(zip(units, range(first, first + len(units)), strict=True))
-
     def pairs(self, places: np.ndarray) -> np.ndarray:
         """The linked pairs of units, one unit's after another's."""
         of = self.sums[places]
@@ -229,10 +244,11 @@ class Aligner:
         """
         none = np.zeros(0, np.int64)
         for at in range(0, len(texts), TOGETHER):
-            cut = [self.units(t) if t else [] for t in texts[at : at + TOGETHER]]
-            self.learn(set().union(*cut))
+            # Places are given as units are met; what is new is learned for all of these texts at once.
+            cut = [list(map(self.at.__getitem__, self.units(t))) if t else [] for t in texts[at : at + TOGETHER]]
+            self.learn()
             for units in cut:
-                places = np.array([self.at[u] for u in units], np.int64)
+                places = np.array(units, np.int64)
                 yield none if self.sums[places, 4].any() else places
 
 
