@@ -2,6 +2,12 @@
 
 Every stage takes what the one before it kept; all but the last return the columns of documents,
 whose ``n_chars`` is the length of the text as it then is.
+
+Defined cases: null and empty texts fail the quality rules and go there; of rows that repeat a
+``doc_id`` each is judged by its own text, and those that stay are documents of their own up to
+packing, which names pieces by ``doc_id``; rows without a ``doc_id`` are rows like any others; a text
+is read whole, however long; an empty table gives an empty result; columns beside those of documents
+are handed on up to packing.
 """
 
 from __future__ import annotations
@@ -10,15 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.lineage import materialize
-from newsloom.llm import host_rules, near_copies, packing, pii, simhash, site_lines
+from newsloom.llm import host_rules, packing, pii, simhash, site_lines
 from newsloom.llm.queries import tokenizer_path
 
 
-#: Lines on three pages of a small host are boilerplate if they pass the ratio; two pages may be near
-#: copies of one another, which a later stage takes care of.
-BOILERPLATE_PAGES = 3
-
-
 def _recounted(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``docs`` with these columns, ``n_chars`` counted anew."""
     counted = docs.withColumn("n_chars", F.length("text").cast("bigint"))
@@ -32,12 +33,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the lines that are boilerplate of their host."""
-    return _recounted(site_lines.drop_boilerplate(docs, min_pages=BOILERPLATE_PAGES), docs.columns)
+    return _recounted(site_lines.drop_boilerplate(docs), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
-    return simhash.one_of_each(docs, grouped=near_copies.grouped)
+    """One document of each group whose fingerprints of three-word shingles link at three bits."""
+    return simhash.one_of_each(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
