@@ -19,7 +19,7 @@ agree in one of four blocks of 12, so each of those is a bucket of its own. Noth
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from newsloom.lineage import materialize
 from newsloom.llm.components import components
+from newsloom.operators.joins import lookup
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -285,20 +286,21 @@ def near_duplicates(docs: DataFrame, *, max_bits: int = MAX_BITS, hot_bucket: in
         "root", F.coalesce("root", "fp")
     )
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = materialize(lookup(rooted, smallest, "root").select("fp", "component_id"), "named")
+    # A fingerprint that a third of all rows share is spread over tasks.
+    return lookup(fps, named, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, *, grouped: Callable[..., DataFrame] = near_duplicates, **options) -> DataFrame:
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """One row of each near-duplicate group of ``docs``: that of the smallest ``doc_id``.
 
     Rows are told apart by ids of their own, written once, so rows whose ``doc_id`` is null or
     repeats are judged by their own texts. Of a group a row without ``doc_id`` stays only if no other
-    has one. ``grouped`` gives ``doc_id, component_id`` for rows of ``doc_id, text``.
+    has one. ``options`` are those of :func:`near_duplicates`.
     """
     row, doc_id = F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.col("_row.doc_id")
     rows = materialize(docs.select(row.alias("_row"), F.monotonically_increasing_id().alias("_id")), "identified")
-    found = grouped(rows.select(F.col("_id").alias("doc_id"), F.col("_row.text").alias("text")), **options)
+    found = near_duplicates(rows.select(F.col("_id").alias("doc_id"), F.col("_row.text").alias("text")), **options)
     members = rows.select("_id", doc_id.isNull().alias("_unnamed"), doc_id.alias("_doc")).join(
         found.select(F.col("doc_id").alias("_id"), "component_id"), "_id"
     )

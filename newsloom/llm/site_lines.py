@@ -5,7 +5,7 @@ boilerplate ratio are dropped from the host's pages. Exact copies of a page with
 as one page, above and below the fraction, so that the lines of a page that was fetched many times
 are not taken for the site's boilerplate.
 
-A line is what stands between line feeds; it is compared whole. Lines without a word are never
+A line is what stands between line feeds; it is compared by its 64-bit hash. Lines without a word are never
 dropped and not counted. Defined cases: a null host is a host of its own; a null text stays null
 and holds no line; rows that repeat a ``doc_id`` are rows like any others; a page that loses all
 lines has an empty text; an empty table gives an empty result; extra columns are handed on, but for
@@ -24,8 +24,8 @@ from newsloom.operators.joins import lookup
 #: A line on more than this share of the host's pages is boilerplate ...
 RATIO = 0.1
 
-#: ... if it is on as many pages at least; fewer are no evidence on a small host.
-MIN_PAGES = 10
+#: ... if it is on as many pages at least: two pages may be near copies of one another, which tells nothing of the host.
+MIN_PAGES = 3
 
 HAS_WORD = r"[^\x20\x09-\x0D]"
 

@@ -214,7 +214,7 @@ def test_lines_of_a_host(spark):
     texts = {r["doc_id"]: r for r in found.collect()}
     assert texts[3]["text"] == "own line 3\n" and (texts[3]["n_lines"], texts[3]["n_dropped"]) == (4, 2)
     assert texts[100]["text"] == "copied page\nwith its lines"
-    assert texts[200]["text"] == "header\nsame\n0" and texts[300]["text"] == "header"
+    assert texts[200]["text"] == "0" and texts[300]["text"] == "header"
     assert texts[301]["text"] is None and texts[301]["n_lines"] == 0
 
 

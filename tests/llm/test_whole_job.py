@@ -2,11 +2,13 @@
 
 import random
 
+import brute
 import corpus_pipeline
 import pytest
-from newsloom.llm import near_copies, pii, simhash
+from newsloom.llm import pii, simhash
 
 ROWS = "doc_id bigint, text string"
+DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 A = "the quick brown fox jumps over the lazy dog near the old river bank at dawn"
 B = "seven wise owls keep a silent watch while heavy snow falls upon northern hills"
 C = "fresh bread and salted butter were served to every guest of the village inn"
@@ -29,7 +31,7 @@ def copies(seed):
     """Texts, some of them others with a few words changed; short, empty and null ones."""
     rng = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(400)]
-    texts = [" ".join(rng.choices(vocabulary, k=rng.choice([5, 9, 40, 200]))) for _ in range(60)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.choice([5, 9, 40, 900]))) for _ in range(60)]
     for _ in range(240):
         words = rng.choice(texts).split()
         for _ in range(rng.choice([0, 1, 1, 2, 3])):
@@ -38,38 +40,41 @@ def copies(seed):
     return texts + ["", None, " ", "one", "One", "a b c d", "a b c d e"]
 
 
-def jaccard_groups(texts):
-    """The smallest place that each text reaches over pairs with a similarity of 0.8 or more."""
-    sets = []
-    for text in texts:
-        words = (text or "").lower().split()
-        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
-    root = list(range(len(sets)))
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if (5 * len(a & b) >= 4 * len(a | b)) and root[i] != root[j]:
-                old, new = max(root[i], root[j]), min(root[i], root[j])
-                root = [new if r == old else r for r in root]
-    return root
-
-
-@pytest.mark.parametrize(("seed", "common"), [(1, 1000), (2, 3)])
-def test_near_copies_equal_all_pairs(spark, seed, common):
-    texts = copies(seed)
-    docs = spark.createDataFrame(list(enumerate(texts)), ROWS)
-    found = {r["doc_id"]: r["component_id"] for r in near_copies.grouped(docs, common=common).collect()}
-    firsts = {}
-    for i in range(len(texts)):
-        firsts.setdefault(found[i], i)
-    assert [firsts[found[i]] for i in range(len(texts))] == jaccard_groups(texts)
-
-
-def test_pipeline_keeps_one_of_each_jaccard_group(spark):
+def test_pipeline_keeps_one_of_each_group_of_fingerprints(spark):
     texts = copies(3)
-    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate(texts)], DOCUMENTS)
     stage = dict(corpus_pipeline.STAGES)["SimHash near-dedup"]
-    assert sorted(r["doc_id"] for r in stage(spark, docs, "").collect()) == sorted(set(jaccard_groups(texts)))
+    groups = brute.groups(list(range(len(texts))), [brute.fingerprint(t) for t in texts])
+    assert len(set(groups)) < len(set(texts))
+    assert sorted(r["doc_id"] for r in stage(spark, docs, "").collect()) == sorted(set(groups))
+
+
+def test_pipeline_with_a_large_group_of_near_copies(spark):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(5000)}" for _ in range(1200)]
+    texts = []
+    for _ in range(2000):
+        changed = list(words)
+        changed[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(changed))
+    groups = brute.groups(list(range(len(texts))), [brute.fingerprint(t) for t in texts])
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate(texts)], DOCUMENTS)
+    kept = dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(groups))
+
+
+@pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES[:-1])
+def test_stages_on_odd_and_empty_tables(spark, name, stage):
+    rows = [(1, A, "en", "a", 1), (1, B, "en", "a", 1), (None, C, None, None, None), (2, None, "en", "a", 0), (3, "", "en", "b", 0),
+            (4, A + " " + "long words " * 30_000, "en", "b", 5), (5, C, "en", "b", 5)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    found = stage(spark, docs, "")
+    assert found.dtypes == docs.dtypes and {r["text"] for r in found.collect()} >= {A, B, C}
+    assert stage(spark, spark.createDataFrame([], DOCUMENTS), "").collect() == []
+    clashing = docs.selectExpr("*", "1 AS fp", "2 AS _row", "3 AS _id", "4 AS n_lines", "5 AS host")
+    key = lambda r: repr(r)
+    again = stage(spark, clashing, "").select(docs.columns)
+    assert sorted(map(tuple, again.collect()), key=key) == sorted(map(tuple, found.collect()), key=key)
 
 
 def test_pipeline_drops_boilerplate_of_small_hosts(spark):
