@@ -12,10 +12,11 @@ and the marks at the end of a word. No token of A and no piece of B reaches acro
 are tested when the file is loaded), so a unit is encoded and aligned once per worker, wherever it
 stands. A text with other white space is one unit.
 
-The counts take a first pass: every task adds up, over its documents, in how many each pair of ids
-is linked, and only these partial counts are shuffled. A second pass scores the documents. The
-table of pairs follows the vocabularies more than the corpus; measured below ``BROADCAST_BYTES`` it
-goes to every task, and larger ones are joined with the documents' pairs, with the same result.
+Every document is encoded once and written as places in a list of its block's units, with the links
+of these. Over this table every task adds up in how many documents each pair of ids is linked, and
+only these partial counts are shuffled; then the documents are scored. The table of pairs follows
+the vocabularies more than the corpus; measured below ``BROADCAST_BYTES`` it goes to every task, and
+larger ones are joined with the documents' pairs, with the same result.
 
 Defined cases: texts that are null or empty, or that B can't spell byte by byte (such as with the
 space sign U+2581 in them), have no tokens: all numbers are zero and the digest is empty. Rows with
@@ -28,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +42,7 @@ from newsloom.operators.joins import lookup
 from newsloom.sizes import BROADCAST_BYTES
 
 #: Units that a worker remembers, and pairs that a task adds up before it hands them on.
-REMEMBERED, HELD_PAIRS = 500_000, 1 << 20
+REMEMBERED, HELD_PAIRS = 300_000, 1 << 19
 
 #: Texts whose new units are encoded together, and units that a block of documents has but for its last document.
 TOGETHER, BLOCK_UNITS = 64, 200_000
@@ -59,7 +61,21 @@ OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u202
 
 BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 
-DIGEST = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
+NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
+DIGEST = ", ".join(f"{name} bigint" for name in NUMBERS) + ", groups_sha256 string"
+RESULT = ["doc_id", *NUMBERS, "groups_sha256", "n_best", "count_sum"]
+
+#: What a block of documents holds, each as an array.
+BLOCK = {
+    "doc_id": pa.int64(),
+    **{name: pa.int64() for name in NUMBERS},
+    "groups_sha256": pa.string(),
+    "n_units": pa.int32(),
+    "units": pa.int32(),
+    "n_pairs": pa.int32(),
+    "pairs": pa.int64(),
+}
+SQL_NAMES = {pa.int64(): "bigint", pa.int32(): "int", pa.string(): "string"}
 
 
 def byte_letters() -> dict[str, int]:
@@ -262,43 +278,91 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return _ALIGNERS[path_a, path_b]
 
 
-def _linked(own: Aligner, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct pairs of a document and how often each is linked."""
-    return np.unique(own.pairs(places), return_counts=True)
+def blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """Every document encoded once, written in blocks of some documents that each stand for themselves.
+
+    A block has a number, of its documents the ids, the digests, how many units they have and which
+    (``units``, as places in the block's own list), and of that list the linked pairs (``n_pairs``, ``pairs``).
+    """
+
+    def row(ids: list, digests: list, places: list[np.ndarray], own: Aligner) -> pa.RecordBatch:
+        used, units = np.unique(np.concatenate(places), return_inverse=True)
+        sizes = [len(x) for x in places]
+        held = [ids, *map(list, zip(*digests, strict=True)), sizes, units, own.sums[used, 3], own.pairs(used)]
+        arrays = [pa.array([x], pa.list_(kind)) for x, kind in zip(held, BLOCK.values(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65]), *arrays], names=["block", *BLOCK])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = aligner(path_a, path_b)
+        ids, digests, held, n = [], [], [], 0
+        for batch in batches:
+            for at in range(0, len(batch), TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                for doc_id, places in zip(part.column(0).to_pylist(), own.texts(part.column(1).to_pylist()), strict=True):
+                    ids.append(doc_id)
+                    digests.append(_digest(own, places))
+                    held.append(places)
+                    n += len(places)
+                if n > BLOCK_UNITS:
+                    yield row(ids, digests, held, own)
+                    ids, digests, held, n = [], [], [], 0
+                    if len(own.at) > REMEMBERED:
+                        own.forget()
+        if ids:
+            yield row(ids, digests, held, own)
+
+    fields = ", ".join(f"{name} array<{SQL_NAMES[kind]}>" for name, kind in BLOCK.items())
+    columns = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    return materialize(columns.mapInArrow(run, "block bigint, " + fields), "aligned")
+
+
+def _documents(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Of each block the number, ids and digests, the documents' units, and the numbers and pairs of the units."""
+    for i in range(len(batch)):
+        values = [batch.column(name)[i].values for name in BLOCK]
+        units = np.split(values[-3].to_numpy(), np.cumsum(values[-4].to_numpy())[:-1])
+        yield batch.column("block")[i].as_py(), values[:-4], units, values[-2].to_numpy(), values[-1].to_numpy()
+
 
+def _pairs_of(units: np.ndarray, ends: np.ndarray, n_pairs: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    return pairs[runs(ends[units] - n_pairs[units], n_pairs[units])]
 
-def pair_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+
+def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    pairs, where = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
+    return pairs, np.bincount(where, np.concatenate([c for _, c in held]), len(pairs)).astype(np.int64)
+
+
+def pair_counts(aligned: DataFrame) -> DataFrame:
     """``pair, n, best``: in how many documents two ids are linked; ``best`` if no id of B has more with the id of A.
 
     A pair is the id of A in the upper and that of B in the lower 32 bits.
     """
 
+    def out(pairs: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = aligner(path_a, path_b)
         held, n = [], 0
-
-        def added() -> tuple[np.ndarray, np.ndarray]:
-            pairs, where = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
-            return pairs, np.bincount(where, np.concatenate([c for _, c in held]), len(pairs)).astype(np.int64)
-
-        def out(pairs: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "n"])
-
         for batch in batches:
-            for places in own.texts(batch.column(0).to_pylist()):
-                pairs = np.unique(own.pairs(np.unique(places)))
-                held.append((pairs, np.ones(len(pairs), np.int64)))
-                n += len(pairs)
+            for _, _, docs, n_pairs, pairs in _documents(batch):
+                # Pairs as places in the block's list of distinct ones, counted once per document.
+                distinct, place = np.unique(pairs, return_inverse=True)
+                ends, counts = np.cumsum(n_pairs), np.zeros(len(distinct), np.int64)
+                for units in docs:
+                    counts[np.unique(_pairs_of(np.unique(units), ends, n_pairs, place))] += 1
+                held.append((distinct[counts > 0], counts[counts > 0]))
+                n += len(held[-1][0])
                 if n > 4 * HELD_PAIRS:
-                    held = [added()]
+                    held = [_added(held)]
                     n = len(held[0][0])
                     if n > HELD_PAIRS:
                         yield out(*held[0])
                         held, n = [], 0
         if n:
-            yield out(*added())
+            yield out(*_added(held))
 
-    partial = docs.select(F.col("text").cast("string")).mapInArrow(run, "pair bigint, n bigint")
+    partial = aligned.mapInArrow(run, "pair bigint, n bigint")
     counts = materialize(partial.groupBy("pair").agg(F.sum("n").alias("n")), "pair-counts")
     of_a = F.shiftright("pair", 32).alias("a")
     # One row for each id of A: as many as its vocabulary has.
@@ -308,12 +372,11 @@ def pair_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
 
 def align(docs: DataFrame, path_a: str, path_b: str, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``doc_id``, the numbers of tokens, groups and links, ``n_best, count_sum`` and the digest of the groups, per row."""
-    counts = pair_counts(docs, path_a, path_b)
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    if counts.count() * PAIR_BYTES <= broadcast_bytes:
-        return _scored(rows, counts, path_a, path_b)
-    return _joined(rows, counts, path_a, path_b)
+    """``doc_id``, the numbers of tokens, groups and links, the digest of the groups, ``n_best, count_sum`` for every row."""
+    aligned = blocks(docs, path_a, path_b)
+    counts = pair_counts(aligned)
+    small = counts.count() * PAIR_BYTES <= broadcast_bytes
+    return _scored(aligned, counts) if small else _joined(aligned, counts)
 
 
 def _digest(own: Aligner, places: np.ndarray) -> tuple:
@@ -323,73 +386,47 @@ def _digest(own: Aligner, places: np.ndarray) -> tuple:
     return *own.sums[places, :4].sum(axis=0).tolist(), groups.hexdigest()
 
 
-def _scored(rows: DataFrame, counts: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def _scored(aligned: DataFrame, counts: DataFrame) -> DataFrame:
     """The documents scored in place, with a table of pairs that was measured to be small."""
     table = counts.toArrow().sort_by("pair")
-    columns = table.column("pair").to_numpy(), table.column("n").to_numpy(), np.array(table.column("best").to_pylist(), bool)
-    sent = rows.sparkSession.sparkContext.broadcast(columns)
+    columns = [table.column(name).to_numpy() for name in ("pair", "n", "best")]
+    sent = aligned.sparkSession.sparkContext.broadcast(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, (pairs, counted, best) = aligner(path_a, path_b), sent.value
-        known, scores = None, np.zeros((0, 2), np.int64)
-
-        def scored(places: np.ndarray) -> tuple[int, int]:
-            """Best links of the units and the sum of their counts; a unit's are looked up once."""
-            nonlocal known, scores
-            if known is not own.at:  # units were numbered anew
-                known, scores = own.at, np.zeros((0, 2), np.int64)
-            if len(scores) < len(known):
-                later = np.arange(len(scores), len(known))
-                keys, of = own.pairs(later), np.repeat(np.arange(len(later)), own.sums[later, 3])
-                # Units of texts without tokens, or of other tables, may have pairs that aren't counted here.
-                at = np.minimum(np.searchsorted(pairs, keys), max(len(pairs) - 1, 0))
-                here = pairs[at] == keys if len(pairs) else np.zeros(0, np.int64)
-                of, at = of[here], at[here]
-                more = [np.bincount(of, x[at], len(later)) for x in (best, counted)]
-                scores = np.concatenate((scores, np.stack(more, axis=1).astype(np.int64)))
-            return tuple(scores[places].sum(axis=0).tolist())
-
+        known, counted, best = sent.value
         for batch in batches:
-            found = []
-            for places in own.texts(batch.column(1).to_pylist()):
-                found.append((*_digest(own, places), *scored(places)))
-            columns = zip(*found, strict=True) if found else [()] * 7
-            arrays = [pa.array(list(c), pa.string() if i == 4 else pa.int64()) for i, c in enumerate(columns)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=names)
+            for _, digests, docs, n_pairs, pairs in _documents(batch):
+                at, of = np.searchsorted(known, pairs), np.repeat(np.arange(len(n_pairs)), n_pairs)
+                # Units of texts without tokens have pairs that may not be counted.
+                at = np.minimum(at, max(len(known) - 1, 0))
+                here = known[at] == pairs if len(known) else np.zeros(0, np.int64)
+                at, of = at[here], of[here]
+                scores = [np.bincount(of, x[at], len(n_pairs)).astype(np.int64) for x in (best, counted)]
+                sums = [pa.array([int(x[units].sum()) for units in docs], pa.int64()) for x in scores]
+                yield pa.RecordBatch.from_arrays([*digests, *sums], names=RESULT)
 
-    schema = f"doc_id bigint, {DIGEST}, n_best bigint, count_sum bigint"
-    names = [field.split()[0] for field in schema.split(", ")]
-    return rows.mapInArrow(run, schema)
+    return aligned.mapInArrow(run, "doc_id bigint, " + DIGEST + ", n_best bigint, count_sum bigint")
 
 
-def _joined(rows: DataFrame, counts: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """The same for a table of any size: each row's distinct pairs are joined with it and summed up by row."""
+def _joined(aligned: DataFrame, counts: DataFrame) -> DataFrame:
+    """The same for a table of any size: each document's distinct pairs are joined with it and summed up by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = aligner(path_a, path_b)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for row, places in zip(ids, own.texts(batch.column(1).to_pylist()), strict=True):
-                pairs, often = _linked(own, places)
-                # The digest goes with a first line of its own, which no pair equals.
-                digest = _digest(own, places)
-                size = len(pairs) + 1
-                lines = {
-                    "_row": pa.array(np.full(size, row)),
-                    "pair": pa.array(np.concatenate(([-1], pairs))),
-                    "often": pa.array(np.concatenate(([0], often))),
-                }
-                for name, value in zip(DIGEST.split(", "), digest, strict=True):
-                    kind = pa.string() if name.endswith("string") else pa.int64()
-                    lines[name.split()[0]] = pa.array([value] + [None] * (size - 1), kind)
-                yield from pa.table(lines).to_batches()
-
-    identified = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "identified")
-    lines = identified.select("_row", "text").mapInArrow(run, f"_row bigint, pair bigint, often bigint, {DIGEST}")
-    numbers = [name.split()[0] for name in DIGEST.split(", ")]
-    scored = lookup(lines, counts, "pair", "left", small=False).groupBy("_row").agg(
-        *[F.max(name).alias(name) for name in numbers],
-        F.coalesce(F.sum(F.when(F.col("best"), F.col("often"))), F.lit(0)).alias("n_best"),
-        F.coalesce(F.sum(F.col("often") * F.col("n")), F.lit(0)).alias("count_sum"),
+            for block, _, docs, n_pairs, pairs in _documents(batch):
+                ends = np.cumsum(n_pairs)
+                for at, units in enumerate(docs):
+                    found, often = np.unique(_pairs_of(units, ends, n_pairs, pairs), return_counts=True)
+                    columns = [np.full(len(found), block), np.full(len(found), at), found, often]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["block", "at", "pair", "often"])
+
+    lines = aligned.mapInArrow(run, "block bigint, at bigint, pair bigint, often bigint")
+    scores = lookup(lines, counts, "pair", small=False).groupBy("block", "at").agg(
+        F.sum(F.when(F.col("best"), F.col("often")).otherwise(0)).alias("n_best"),
+        F.sum(F.col("often") * F.col("n")).alias("count_sum"),
+    )
+    documents = F.arrays_zip(*RESULT[:-2])
+    digests = aligned.select("block", F.posexplode(documents).alias("at", "of")).select("block", "at", "of.*")
+    return digests.join(scores, ["block", "at"], "left").select(
+        *RESULT[:-2], *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in RESULT[-2:]]
     )
-    return identified.select("_row", "doc_id").join(scored, "_row").drop("_row")
