@@ -22,51 +22,47 @@ def _values(rows: list[tuple]) -> str:
 
 
 def _license_scan() -> str:
-    grams = []
-    for number, t in enumerate(L.BASE + L.FUZZY):
-        words = t.words.split()
-        n = len(words) - L.K + 1
-        grams += [
-            (number, t.label, t.base, n, i, " ".join(words[i : i + L.K])) for i in range(n)
-        ]
+    grams = [
+        (number, t.label, t.base, t.n, t.k, t.spread, len(t.grams()), i, gram)
+        for number, t in enumerate(L.BASE + L.FUZZY)
+        for i, gram in t.grams()
+    ]
     return rf"""
-    WITH t(template, label, base, n_grams, t_pos, gram) AS ({_values(grams)}),
+    WITH t(template, label, base, n, k, spread, n_grams, t_pos, gram) AS ({_values(grams)}),
     words AS (
-        SELECT doc_id, regexp_extract_all(
+        SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
             translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
         FROM documents),
+    places AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM words),
     grams AS (
-        SELECT doc_id, i - 1 AS pos, w[i] || ' ' || w[i + 1] AS gram
-        FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM words)),
-    votes AS (
-        SELECT doc_id, template, label, base, n_grams, pos - t_pos AS diagonal,
-            count(*) AS votes, list(t_pos) AS held
-        FROM grams JOIN t USING (gram) GROUP BY ALL),
-    marked AS (
-        SELECT *, CASE WHEN diagonal - lag(diagonal) OVER along <= {L.DIAGONAL_GAP} THEN 0 ELSE 1 END AS fresh
-        FROM votes WINDOW along AS (PARTITION BY doc_id, template ORDER BY diagonal)),
-    numbered AS (
-        SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span,
-            base AND votes = n_grams AS place
-        FROM marked),
+        SELECT r, i - 1 AS pos, w[i] || ' ' || w[i + 1] AS gram FROM places WHERE i < len(w)
+        UNION ALL
+        SELECT r, i - 1, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM places WHERE i + 1 < len(w)),
+    hits AS (SELECT *, pos - t_pos AS diagonal FROM grams JOIN t USING (gram)),
+    exact AS (
+        SELECT r, label, base, diagonal AS place, 1.0 AS score
+        FROM hits WHERE spread = 0 GROUP BY r, template, label, base, n_grams, diagonal HAVING count(*) = n_grams),
+    matched AS (
+        SELECT DISTINCT r, template, label, n, t_pos + step AS word, pos + step AS here, unnest([
+            floor(diagonal / spread), floor(diagonal / spread) - 1]) AS span
+        FROM (SELECT *, unnest(range(k)) AS step FROM hits WHERE spread > 0)),
     spans AS (
-        SELECT doc_id, template, label, base, n_grams, span,
-            len(list_distinct(flatten(list(held)))) / n_grams AS coverage,
-            count(*) FILTER (place) AS n_base,
-            min(diagonal) FILTER (place) AS first_word, max(diagonal) FILTER (place) AS last_word
-        FROM numbered GROUP BY doc_id, template, label, base, n_grams, span),
-    checked AS (
-        SELECT *, CASE WHEN base THEN n_base > 0 ELSE coverage >= {L.MIN_COVERAGE} END AS ok FROM spans),
+        SELECT r, label, least(count(DISTINCT word), count(DISTINCT here))
+            / greatest(n, max(here) - min(here) + 1) AS score
+        FROM matched GROUP BY r, template, label, n, span),
+    judged AS (
+        SELECT * FROM exact
+        UNION ALL SELECT r, label, false, NULL, score FROM spans WHERE score >= {L.MIN_COVERAGE}),
     found AS (
-        SELECT doc_id, sum(n_base)::BIGINT AS n_base, min(first_word) AS first_word, max(last_word) AS last_word,
-            string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base AND ok) AS base_labels,
-            string_agg(DISTINCT label, ',' ORDER BY label) FILTER (ok) AS labels,
-            max(coverage) FILTER (ok) AS score
-        FROM checked GROUP BY doc_id)
+        SELECT r, count(*) FILTER (base) AS n_base, min(place) FILTER (base) AS first_word,
+            max(place) FILTER (base) AS last_word,
+            string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+            string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+        FROM judged GROUP BY r)
     SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
-        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
-    FROM words LEFT JOIN found USING (doc_id)
+        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+    FROM words LEFT JOIN found USING (r)
     """
 
 
@@ -79,7 +75,7 @@ def _url_filter() -> str:
             f"THEN {_text(rule.name)}"
         )
     verdicts = " ".join(f"WHEN {_text(r.name)} THEN {_text(r.verdict)}" for r in U.BASE)
-    own = " OR ".join(f"regexp_matches(host || ' ' || path, {_text(r.pattern)})" for r in U.PATTERNS)
+    own = " OR ".join(f"regexp_matches(host || '?' || path, {_text(r.pattern)})" for r in U.PATTERNS)
     return rf"""
     WITH cut AS (
         SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest

@@ -5,9 +5,13 @@ shares of byte classes and of their pairs, of hashed words, and how words repeat
 layer weighs the passages of a document; the weighted sum of their hidden vectors is scored. Only
 documents carry labels, so the attention learns which passages tell (multiple-instance learning).
 
-Training takes a bounded sample of labelled documents: at most ``TRAIN_DOCS``, chosen by a hash of
-their id, with ``TRAIN_PASSAGES`` passages each, evenly spaced. Scoring reads all passages of all
-texts. Ids, labels, language and source are no inputs of a score.
+Training takes a bounded sample of labelled documents, chosen by a hash of their id: at most
+``TRAIN_DOCS``, and as many of them as have ``TRAIN_PASSAGES`` passages together (the first one
+whatever it has). All passages of a document that is taken are encoded and trained on. Scoring reads
+all passages of all texts. Ids, labels, language and source are no inputs of a score.
+
+A text above ``BLOCK`` bytes is encoded in pieces that begin where a passage does, so that memory
+follows its length with a small factor (some 10 bytes for each of its bytes, mostly the vectors).
 
 Defined cases: null and empty texts have one passage without words and are scored like others; a
 document with several labels has the smaller; null labels are no labels; without labels, or with
@@ -25,9 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.lineage import materialize
+
 PASSAGE = 64
 TRAIN_DOCS = 4000
-TRAIN_PASSAGES = 24
+TRAIN_PASSAGES = 60_000
 
 #: Texts are encoded in blocks of about so many bytes.
 BLOCK = 1 << 20
@@ -65,8 +71,11 @@ N_OWN = 8
 WIDTH = N_CLASSES + N_CLASSES**2 + WORD_BINS + N_OWN
 
 
-def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A vector for every passage of the texts, and each passage's text number."""
+def encode(texts: list[bytes], words_in_all: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A vector for every passage of the texts, and each passage's text number.
+
+    ``words_in_all`` counts the words of the text that each one is a piece of.
+    """
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     text_start = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
     space = IS_SPACE[data]
@@ -128,7 +137,7 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             per_passage((capital > 1) & (2 * capital > length)) / words,
             per_passage(length > 20) / words,
             np.bincount(word_passage, minlength=total) / PASSAGE,
-            np.log1p(n_words[owner]) / 10,
+            np.log1p((n_words if words_in_all is None else words_in_all)[owner]) / 10,
         ],
         axis=1,
     )
@@ -136,20 +145,48 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return vectors.astype(np.float32), owner
 
 
+def pieces(text: bytes) -> tuple[list[bytes], int]:
+    """A long text cut where a passage begins, in pieces of about ``BLOCK`` bytes, and the number of its words."""
+    found, begun, words, open_word, at = [], 0, 0, False, 0
+    for start in range(0, len(text), BLOCK):
+        space = IS_SPACE[np.frombuffer(text, np.uint8, min(BLOCK, len(text) - start), start)]
+        first = np.flatnonzero(~space & np.concatenate(([not open_word], space[:-1]))) + start
+        # Of the words that begin here, the first one with which a passage begins.
+        k = -words % PASSAGE
+        if k < len(first) and words + k and first[k] > at:
+            found.append(text[begun : first[k]])
+            begun = int(first[k])
+        words, open_word, at = words + len(first), not space[-1], begun
+    return [*found, text[begun:]], words
+
+
 def blocks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """``encode`` in blocks of bounded size; text numbers count from the first text."""
+    """``encode`` in blocks of bounded size, a document whole; text numbers count from the first text."""
     held: list[bytes] = []
     done = size = 0
+
+    def encoded() -> tuple[np.ndarray, np.ndarray]:
+        vectors, owner = encode(held)
+        return vectors, owner + done
+
     for text in texts:
-        held.append((text or "").encode())
-        size += len(held[-1])
+        spelt = (text or "").encode()
+        if len(spelt) > BLOCK:
+            if held:
+                yield encoded()
+                done, held, size = done + len(held), [], 0
+            cut, words = pieces(spelt)
+            vectors = np.concatenate([encode([piece], np.array([words]))[0] for piece in cut])
+            yield vectors, np.full(len(vectors), done)
+            done += 1
+            continue
+        held.append(spelt)
+        size += len(spelt)
         if size >= BLOCK:
-            vectors, owner = encode(held)
-            yield vectors, owner + done
+            yield encoded()
             done, held, size = done + len(held), [], 0
     if held:
-        vectors, owner = encode(held)
-        yield vectors, owner + done
+        yield encoded()
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -241,7 +278,9 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", train_docs: int = TRAIN_DOCS) -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, *, label: str = "quality", train_docs: int = TRAIN_DOCS, train_passages: int = TRAIN_PASSAGES
+) -> Model:
     """The model learned from ``labels (doc_id, label)`` that aren't held out."""
     known = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -250,28 +289,43 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", train_d
     )
     # At most train_docs rows of two numbers, so they may be broadcast.
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(F.broadcast(sample), "doc_id")
+    # Of rows that repeat an id one is taken.
+    texts = materialize(texts.groupBy("doc_id").agg(F.min(F.struct("text", "label")).alias("_one")).select("doc_id", "_one.*"), "labelled")
+    chosen = _within(texts, train_passages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[bytes] = []
-            for vectors, owner in blocks(batch.column(1).to_pylist()):
-                for number in np.unique(owner):
-                    own = vectors[owner == number]
-                    some = np.unique(np.linspace(0, len(own) - 1, min(len(own), TRAIN_PASSAGES)).round().astype(int))
-                    rows.append(own[some].tobytes())
+            rows = [
+                own.tobytes()
+                for vectors, owner in blocks(batch.column(1).to_pylist())
+                for own in np.split(vectors, np.flatnonzero(np.diff(owner)) + 1)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(rows, pa.binary())], names=["doc_id", "label", "vectors"]
             )
 
-    # Bounded by train_docs and TRAIN_PASSAGES; of rows that repeat an id one is taken.
-    found = texts.mapInArrow(run, "doc_id bigint, label double, vectors binary")
-    rows = found.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("vectors").alias("vectors")).collect()
+    # Bounded by the numbers of documents and of passages.
+    taken = texts.where(F.col("doc_id").isin(chosen)).select("doc_id", "text", "label")
+    rows = taken.mapInArrow(run, "doc_id bigint, label double, vectors binary").collect()
     rows.sort(key=lambda r: r["doc_id"])
     vectors = [np.frombuffer(r["vectors"], np.float32).reshape(-1, WIDTH) for r in rows]
     return fit(vectors, np.array([r["label"] for r in rows]))
 
 
+def _within(texts: DataFrame, passages: int) -> list[int]:
+    """The ids of the first documents, in the order of a hash, that have so many passages together."""
+    words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    sizes = texts.select("doc_id", F.xxhash64("doc_id").alias("hash"), words.alias("words")).collect()  # bounded as the sample
+    chosen, total = [], 0
+    for row in sorted(sizes, key=lambda r: (r["hash"], r["doc_id"])):
+        total += max(1, -(-row["words"] // PASSAGE))
+        if chosen and total > passages:
+            break
+        chosen.append(row["doc_id"])
+    return chosen
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score`` for every row of ``docs (doc_id, text)``."""
 

@@ -146,8 +146,10 @@ def nearest(
 
     def matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         vec = table.column("vec").combine_chunks()
-        flat = vec.flatten().to_numpy(zero_copy_only=False)
-        return table.column("vec_id").to_numpy(), flat.reshape(len(vec), -1)
+        rows = vec.flatten().to_numpy(zero_copy_only=False).reshape(len(vec), -1)
+        # Scaled by a power of two, which changes no cosine, so that no square overflows.
+        _, exponent = np.frexp(np.abs(rows).max(axis=1, initial=0))
+        return table.column("vec_id").to_numpy(), np.ldexp(rows, -exponent[:, None])
 
     def best(queries: pa.Table, candidates: pa.Table) -> pa.Table:
         columns: list[list] = [[], [], []]

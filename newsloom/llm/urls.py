@@ -18,6 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.lineage import materialize
+from newsloom.operators.joins import lookup
+
 #: What separates the tokens of a URL in lower case.
 NOT_TOKEN = "[^a-z0-9]+"
 
@@ -28,7 +31,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass(frozen=True)
 class Rule:
-    """A verdict for URLs whose ``host path`` (joined by a blank, the host in lower case) fit ``pattern``.
+    """A verdict for URLs whose address, ``host?path`` with the host in lower case, fits ``pattern``.
+
+    Neither a host nor a path holds a question mark.
 
     ``tokens`` are literal tokens that every such URL holds whole. ``name`` is the text of a rule
     that is reported, or None for a rule of the method's own.
@@ -42,7 +47,7 @@ class Rule:
 
 def host_rule(verdict: str, host: str, path: str) -> Rule:
     """Fits the host and all its subdomains, for paths that begin with ``path``."""
-    pattern = rf"^([^ ]*\.)?{re.escape(host)} {re.escape(path)}"
+    pattern = rf"^([^?]*\.)?{re.escape(host)}\?{re.escape(path)}"
     # The path's last token may go on in a URL unless a slash ends it.
     closed = path if path.endswith("/") else path.rpartition("/")[0]
     tokens = tuple(t for t in re.split(NOT_TOKEN, f"{host} {closed}") if t)
@@ -57,23 +62,33 @@ BASE = (
     host_rule(ALLOW, "org", "/fr/"),
 )
 
-#: The method's own: hosts and paths with words of spam, gambling, adult and login pages.
-PATTERNS = tuple(
-    Rule(BLOCK, rf"(?i)(^|[^a-z0-9]){first}[^a-z0-9]{second}([^a-z0-9]|$)", (first, second))
-    for first, second in (
-        ("spam", "farm"),
-        ("cheap", "pills"),
-        ("link", "farm"),
-        ("free", "casino"),
-        ("casino", "bonus"),
-        ("online", "casino"),
-        ("payday", "loans"),
-        ("adult", "video"),
-        ("xxx", "videos"),
-        ("wp", "login"),
-        ("replica", "watches"),
-        ("malware", "download"),
-    )
+#: The method's own, by shape: two words side by side anywhere, the first label of a host, a folder of
+#: the path, the file that a path ends with, and its ending.
+PATTERNS = (
+    *(
+        Rule(BLOCK, rf"(?i)(^|[^a-z0-9]){first}[^a-z0-9]{second}([^a-z0-9]|$)", (first, second))
+        for first, second in (
+            ("spam", "farm"),
+            ("cheap", "pills"),
+            ("link", "farm"),
+            ("free", "casino"),
+            ("casino", "bonus"),
+            ("online", "casino"),
+            ("payday", "loans"),
+            ("adult", "video"),
+            ("xxx", "videos"),
+            ("wp", "login"),
+            ("replica", "watches"),
+            ("malware", "download"),
+        )
+    ),
+    *(Rule(BLOCK, rf"^{label}[0-9-]*\.[^?]", (label,)) for label in ("ads", "adserver", "banners", "clicktracker", "popunder")),
+    *(
+        Rule(BLOCK, rf"(?i)\?(.*/)?{folder}/", tuple(folder.split("-")))
+        for folder in ("wp-admin", "cgi-bin", "phishing", "warez")
+    ),
+    *(Rule(BLOCK, rf"(?i)\?(.*/)?{name}\.{end}$", (*name.split("-"), end)) for name, end in (("xmlrpc", "php"), ("wp-cron", "php"))),
+    *(Rule(BLOCK, rf"(?i)\.{end}$", (end,)) for end in ("exe", "scr", "apk", "torrent")),
 )
 
 
@@ -92,9 +107,9 @@ def rule_index(spark: SparkSession, rules: tuple[Rule, ...], tokens: DataFrame)
     if any(not r.tokens for r in rules):
         raise ValueError("every rule needs a literal token")
     rows = [(i, t, r.verdict, r.pattern, r.name) for i, r in enumerate(rules) for t in r.tokens]
-    table = spark.createDataFrame(
-        rows, "rule_id int, token string, verdict string, pattern string, name string"
-    )
+    names = ("rule_id", "token", "verdict", "pattern", "name")
+    literal = [F.struct(*[F.lit(v).cast("int" if c == "rule_id" else "string").alias(c) for c, v in zip(names, row, strict=True)]) for row in rows]
+    table = spark.range(1).select(F.inline(F.array(*literal)))
     wanted = tokens.join(F.broadcast(table.select("token").distinct()), "token").groupBy("token").agg(F.sum("n").alias("n"))
     counted = table.join(wanted, "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return counted.groupBy("rule_id", "verdict", "pattern", "name").agg(
@@ -109,14 +124,13 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = BASE + PATTERNS) -> DataFr
     program, a few short rows each, and so is their index, which is broadcast.
     """
     host, path = parts(F.col("url"))
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    distinct = rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"))
-    address = F.concat_ws(" ", "host", "path")
+    rows = pages.select("page_id", host.alias("host"), path.alias("path")).select(
+        "page_id", "host", "path", F.concat_ws("?", "host", "path").alias("address")
+    )
+    distinct = rows.groupBy("address").agg(F.count(F.lit(1)).alias("n"))
+    address = F.col("address")
     tokens = distinct.select(
-        "host",
-        "path",
-        "n",
-        F.explode_outer(F.array_distinct(F.split(F.lower(address), NOT_TOKEN))).alias("token"),
+        "address", "n", F.explode_outer(F.array_distinct(F.split(F.lower(address), NOT_TOKEN))).alias("token")
     )
     index = rule_index(pages.sparkSession, rules, tokens)
     # Host rules first, then the longest.
@@ -126,10 +140,11 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = BASE + PATTERNS) -> DataFr
     best = (
         tokens.join(F.broadcast(index), "token")
         .where(F.regexp_like(address, F.col("pattern")))
-        .groupBy("host", "path")
+        .groupBy("address")
         .agg(F.max_by(F.struct("name", "verdict"), rank).alias("best"))
     )
-    return rows.join(best, ["host", "path"], "left").select(
+    # Only addresses that a rule fits are looked up; an address of many rows is spread over tasks.
+    return lookup(rows, materialize(best, "judged"), "address", "left").select(
         "page_id",
         "host",
         "path",

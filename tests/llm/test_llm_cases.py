@@ -96,6 +96,16 @@ def test_license_with_words_changed(spark):
     assert row["labels"] == "mit" and row["base_labels"] == "" and 0.75 <= row["score"] < 1
 
 
+def test_license_words_strewn_over_a_text(spark):
+    words = licenses.FUZZY[0].words.split()
+    strewn = " x ".join(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))
+    rows = [(1, strewn), (2, " ".join(words)), (3, "all rights"), (3, "rights reserved all"), (4, "mit license"), (4, "nothing here")]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"], r["labels"], r["n_base"]) for r in found) == [
+        (1, "", 0), (2, "gpl", 0), (3, "", 0), (3, "", 0), (4, "", 0), (4, "mit", 1),
+    ]
+
+
 def random_codes(n, near, seed):
     rng = random.Random(seed)
     codes = [rng.getrandbits(64) for _ in range(n)]
@@ -156,6 +166,26 @@ def test_urls(spark):
     assert urls.judge(spark.createDataFrame([], "page_id bigint, url string, host int")).collect() == []
 
 
+def test_host_with_a_blank_and_own_shapes(spark):
+    rows = [
+        (1, "http://a b.net/x"), (2, "http://x\ny.example.net/en/"), (3, "http://ads.example.info/x"), (4, "http://loads.example.info/x"),
+        (5, "http://a.info/wp-admin/x"), (6, "http://a.info/my-wp-admin-guide"), (7, "http://a.info/setup.EXE"), (8, "http://a.info/exe/x"),
+        (9, "http://a.info/blog/xmlrpc.php"), (10, "http://a.info/x.php"),
+    ]
+    found = urls.judge(spark.createDataFrame(rows, "page_id bigint, url string"))
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in found.collect()}
+    assert got[1] == ("net/", "block") and got[2] == ("example.net/en/", "allow")
+    assert [got[i][1] for i in range(3, 11)] == ["block", "allow", "block", "allow", "block", "allow", "block", "allow"]
+
+
+def test_urls_with_clashing_columns_and_a_hot_address(spark):
+    rows = [(i, None if i % 3 else "http://x.net/") for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    clashing = pages.selectExpr("*", "1 AS host", "2 AS address", "3 AS best", "4 AS token")
+    key = lambda r: r["page_id"]
+    assert sorted(urls.judge(clashing).collect(), key=key) == sorted(urls.judge(pages).collect(), key=key)
+
+
 def test_native_plans(spark):
     for df in (
         urls.judge(spark.read.parquet("/root/testdata/sf0.001/pages.parquet")),
@@ -189,6 +219,13 @@ def test_nearest_recall_and_odd_vectors(spark):
     assert all(abs(r["score"] - unit[r["query_id"]] @ unit[r["vec_id"]]) < 1e-12 for r in found)
 
 
+def test_nearest_of_huge_components_and_clashing_columns(spark):
+    rows = [(0, [1e200, 0.0]), (1, [1e200, 1e199]), (2, [0.0, 1e-200]), (3, [3.0, 4.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").selectExpr("*", "1 AS rank", "2 AS block", "3 AS vec")
+    found = rotated_codes.nearest(table, every=50, k=5).orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == [1, 3, 2] and abs(found[0]["score"] - 1 / np.sqrt(1.01)) < 1e-12 and found[1]["score"] == 0.6
+
+
 def test_nearest_ties_few_vectors_and_empty_table(spark):
     rows = [(i, [1.0, 0.0, 0.0], 0) for i in (50, 3, 2, 9)]
     found = rotated_codes.nearest(vectors(spark, rows), every=50, k=5).orderBy("rank").collect()
@@ -291,6 +328,47 @@ def test_model_without_two_kinds_of_labels(spark, docs):
     assert {r["score"] for r in passages.score(docs, none).collect()} == {0.5}
 
 
+def test_scores_are_those_of_a_plain_forward_pass(spark):
+    texts = ["one two three " * 50, "Ünïcödé\n\nlines 123", "", "word " * 700]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts * 4)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = passages.train(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS quality"))
+    for row in passages.score(docs, model).collect():
+        vectors, _ = passages.encode([texts[row["doc_id"] % 4].encode()])
+        w, hidden, raised = model.weights, [], []
+        for v in vectors:
+            x = (v - model.mean) / model.scale
+            h = np.tanh(sum(x[i] * w["encode"][i] for i in range(len(x))) + w["bias"])
+            gate = 1 / (1 + np.exp(-(h @ w["gate"])))
+            hidden.append(h)
+            raised.append(np.exp(sum(np.tanh(h @ w["tanh"]) * gate * w["attend"])))
+        z = sum(r * h for r, h in zip(raised, hidden, strict=True)) / sum(raised)
+        assert abs(row["score"] - 1 / (1 + np.exp(-(z @ w["out"] + w["last"][0])))) < 1e-5
+
+
+def test_training_takes_all_passages_of_whole_documents(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(passages, "fit", lambda vectors, labels: seen.append([len(v) for v in vectors]))
+    rows = [(i, "word " * 64 * (30 + i), "en", "a", 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS quality")
+    passages.train(docs, labels)
+    passages.train(docs, labels, train_passages=100)
+    trainable = [i for i in range(40) if not brute.held_out(i)]
+    assert seen[0] == [30 + i for i in trainable]
+    assert set(seen[1]) <= set(seen[0]) and 0 < sum(seen[1]) <= 100
+
+
+def test_very_long_texts_are_encoded_in_pieces(monkeypatch):
+    text = ("  " + "some words of a long text, " * 900).encode()
+    whole, _ = passages.encode([text])
+    monkeypatch.setattr(passages, "BLOCK", 1 << 12)
+    cut, words = passages.pieces(text)
+    assert b"".join(cut) == text and words == len(text.split()) and len(cut) > 3
+    (vectors, owner), *_ = passages.blocks([text.decode()])
+    assert vectors.shape == whole.shape and np.abs(vectors - whole).max() < 0.02 and set(owner) == {0}
+
+
 def test_gradients_are_right():
     rng = np.random.default_rng(0)
     x, starts, labels = rng.standard_normal((7, passages.WIDTH)), np.array([0, 3, 4]), np.array([1.0, 0.0, 1.0])
