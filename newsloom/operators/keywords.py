@@ -9,20 +9,28 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
 from newsloom.operators.lexicon import Lexicon
-from newsloom.operators.matching import Key, exploded, with_keywords
+from newsloom.operators.matching import (
+    ROW,
+    Key,
+    exploded,
+    identified,
+    keyword_positions,
+    with_keywords,
+    without_overlaps,
+)
 
 
 def document_frequency(
     docs: DataFrame, lexicon: Lexicon, *, text: str = "text", key: Key = ("doc_id",)
 ) -> DataFrame:
     """``n, kw``: in how many documents each keyword occurs, rarest first, never zero."""
-    return (
-        exploded(with_keywords(docs, lexicon, text=text, key=key), "keywords", "kw")
-        .groupBy("kw")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("n", "kw")
-        .orderBy("n", "kw")
-    )
+    if lexicon.words is None:
+        rows = identified(docs.select(text))
+        found = keyword_positions(rows, lexicon, text=text, key=(ROW,), once=True)
+        hits = found.select(ROW, "kw").distinct()
+    else:
+        hits = exploded(with_keywords(docs, lexicon, text=text, key=key), "keywords", "kw")
+    return hits.groupBy("kw").agg(F.count(F.lit(1)).alias("n")).select("n", "kw").orderBy("n", "kw")
 
 
 def keyword_occurrences(
@@ -32,12 +40,11 @@ def keyword_occurrences(
     if lexicon.words is not None:
         counts = T.keyword_counts(F.col(text), lexicon.words)
         return docs.where(F.col(text).isNotNull()).select(*key, F.inline(counts))
-    found = with_keywords(docs, lexicon, text=text, key=key)
-    counted = F.transform(
-        "keywords",
-        lambda kw: F.struct(kw.alias("kw"), T.occurrences(F.col(text), kw).alias("n")),
-    )
-    return found.select(*key, F.inline(counted))
+    rows = identified(docs.select(*key, text))
+    found = keyword_positions(rows, lexicon, text=text, key=(ROW,))
+    apart = without_overlaps(found.select(ROW, "pos", "kw"), [ROW, "kw"])
+    counts = apart.groupBy(ROW, "kw").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select(ROW, *key).join(counts, ROW).select(*key, "kw", "n")
 
 
 def pair_count(

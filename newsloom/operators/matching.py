@@ -1,25 +1,22 @@
 """Finding dictionary keywords in documents.
 
 A dictionary that fits a pattern is matched inside each row: no join and no shuffle. A larger
-one is joined on the beginnings of its keywords, which works for any size.
+one is found through the rarest grams of its keywords (:mod:`newsloom.operators.grams`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
 from newsloom.lineage import materialize
-from newsloom.operators.joins import lookup
+from newsloom.operators import grams
 from newsloom.operators.lexicon import Lexicon
 
-#: Keywords are joined on their first 1, 2, 4, ... 64 characters.
-ANCHORS = tuple(2**i for i in range(7))
-WINDOW = 2 * ANCHORS[-1] - 1
-
 #: The id that rows get while they are joined with a large dictionary.
 ROW = "_row_id"
 
@@ -36,14 +33,10 @@ def with_keywords(
     if lexicon.words is not None:
         found = T.contained_keywords(F.col(text), lexicon.words)
         return docs.withColumn("keywords", F.coalesce(found, T.no_strings()))
-    docs = _identified(docs)
-    per_doc = (
-        keyword_positions(docs, lexicon, text=text, key=(ROW,))
-        .select(ROW, "kw")
-        .distinct()
-        .groupBy(ROW)
-        .agg(F.sort_array(F.collect_list("kw")).alias("keywords"))
-    )
+    docs = identified(docs)
+    found = keyword_positions(docs, lexicon, text=text, key=(ROW,), once=True)
+    # All rows of a text come from one task, where most repeats go.
+    per_doc = found.groupBy(ROW).agg(F.sort_array(F.collect_set("kw")).alias("keywords"))
     return _attach(docs, per_doc, "keywords")
 
 
@@ -57,15 +50,16 @@ def with_terms(
     if lexicon.words is not None:
         found = T.dictionary_tokens(F.col(text), lexicon.words)
         return docs.withColumn("terms", F.coalesce(found, T.no_strings()))
-    docs = _identified(docs)
+    docs = identified(docs)
     best = (
         keyword_positions(docs, lexicon, text=text, key=(ROW,))
         .groupBy(ROW, "pos")
         .agg(F.max_by("kw", "kw_id").alias("kw"))
     )
-    per_doc = best.groupBy(ROW).agg(
-        _without_overlaps(F.sort_array(F.collect_list(F.struct("pos", "kw")))).alias("terms")
+    cut = without_overlaps(best, [ROW]).groupBy(ROW).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "kw"))).alias("_cut")
     )
+    per_doc = cut.select(ROW, F.col("_cut.kw").alias("terms"))
     return _attach(docs, per_doc, "terms")
 
 
@@ -79,79 +73,43 @@ def exploded(df: DataFrame, array: str, name: str, *keep: str) -> DataFrame:
 
 
 def keyword_positions(
-    docs: DataFrame, lexicon: Lexicon, *, text: str = "text", key: Key = ("doc_id",)
+    docs: DataFrame, lexicon: Lexicon, *, text: str = "text", key: Key = ("doc_id",), once: bool = False
 ) -> DataFrame:
     """Every occurrence of every keyword, overlaps included: ``key, pos, kw_id, kw``.
 
-    A keyword of length n is found through its first characters, as many as the largest anchor
-    not above n. That anchor covers more than half of it, and the window of text that goes with
-    a position covers the rest, so only very long keywords are compared with the text again.
-    The keywords go to every task if measured to be small, so that no position is shuffled;
-    larger dictionaries are joined by shuffling.
+    With ``once`` further occurrences of a keyword in the same text may be left out.
     """
-    length = F.length("kw")
-    anchored = lexicon.table.withColumn(
-        "_anchor", F.greatest(*[F.when(length >= a, F.lit(a)) for a in ANCHORS], F.lit(1))
-    )
-    shape = anchored.agg(
-        F.collect_set("_anchor").alias("anchors"), F.max(length).alias("longest")
-    ).first()
-    anchors = sorted(shape["anchors"]) or [1]
-    keywords = anchored.select(
-        "kw_id", "kw", F.substring("kw", F.lit(1), F.col("_anchor")).alias("_gram")
-    )
-    width = F.lit(2 * anchors[-1] - 1)
-    windows = T.let(
-        F.split(F.col(text), ""),
-        lambda chars: F.transform(
-            chars, lambda _, i: F.array_join(F.slice(chars, i + 1, width), "")
-        ),
-    )
-    grams = (
-        docs.where(F.col(text).isNotNull())
-        .select(*key, F.posexplode(windows).alias("pos", "_window"))
-        .withColumn("_anchor", F.explode(F.array(*[F.lit(a) for a in anchors])))
-        .where(F.length("_window") >= F.col("_anchor"))
-        .select(
-            *key,
-            "pos",
-            F.substring("_window", F.lit(1), 2 * F.col("_anchor") - 1).alias("_window"),
-            F.substring("_window", F.lit(1), F.col("_anchor")).alias("_gram"),
-        )
-    )
-    found = (
-        lookup(grams, keywords, "_gram")
-        .where(F.startswith("_window", F.substring("kw", F.lit(1), F.lit(WINDOW))))
-        .select(*key, "pos", "kw_id", "kw")
-    )
-    if (shape["longest"] or 0) > WINDOW:
-        # Only what a very long keyword may have begun meets its text again.
-        is_long = F.length("kw") > WINDOW
-        checked = (
-            found.where(is_long)
-            .join(docs.select(*key, F.col(text).alias("_text")), list(key))
-            .where(F.substr("_text", F.col("pos") + 1, F.length("kw")) == F.col("kw"))
-            .drop("_text")
-        )
-        found = found.where(~is_long).unionByName(checked)
-    return found
-
-
-def _without_overlaps(matches: Column) -> Column:
-    """From the matches of one text, ordered by position, those that start after the last one."""
-    start = F.struct(F.lit(0).alias("next"), T.no_strings().alias("terms"))
-
-    def take(state: Column, match: Column) -> Column:
-        taken = F.struct(
-            (match["pos"] + F.length(match["kw"])).alias("next"),
-            F.concat(state["terms"], F.array(match["kw"])).alias("terms"),
-        )
-        return F.when(match["pos"] >= state["next"], taken).otherwise(state)
-
-    return F.aggregate(matches, start, take, lambda state: state["terms"])
-
-
-def _identified(docs: DataFrame) -> DataFrame:
+    return grams.occurrences(docs, lexicon.table, text=text, key=key, once=once)
+
+
+def without_overlaps(matches: DataFrame, by: Sequence[str]) -> DataFrame:
+    """From matches ``by, pos, kw``, one per place, those that start after the last one that was taken.
+
+    A place that no match covers cuts a text into runs, and the first match of a run is taken
+    whatever came before it. Inside a run the matches are gone through in order, with nothing held
+    but where the last one ends; so work and memory are linear however long a text is.
+    """
+    end = F.col("pos") + F.length("kw")
+    before = Window.partitionBy(*by).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    begins = F.col("pos") >= F.coalesce(F.max(end).over(before), F.lit(0))
+    columns = matches.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        after = 0
+        for batch in batches:
+            taken = []
+            of = zip(*[batch.column(c).to_pylist() for c in ("pos", "_end", "_begins")], strict=True)
+            for pos, last, first in of:
+                taken.append(first or pos >= after)
+                if taken[-1]:
+                    after = last
+            yield batch.filter(pa.array(taken, pa.bool_())).select(columns)
+
+    ordered = matches.withColumn("_begins", begins).withColumn("_end", end)
+    return ordered.sortWithinPartitions(*by, "pos").mapInArrow(run, matches.schema)
+
+
+def identified(docs: DataFrame) -> DataFrame:
     """The rows with an id of their own, written once, as keys of the caller may repeat or be null."""
     return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "identified")
 
