@@ -2,54 +2,229 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.lineage import materialize
 from newsloom.operators.joins import lookup
 from newsloom.operators.lexicon import UNKNOWN_INDEX, Lexicon
-from newsloom.operators.matching import Key, exploded, with_keywords
+from newsloom.operators.matching import ROW, Key, exploded, identified, keyword_positions, with_keywords
+
+
+#: Sets with more keywords than this are cut into blocks of so many.
+HEAVY = 2048
+
+#: Keywords that occur most are counted in a dense square of this side in each task.
+DENSE = 2048
+
+#: Pairs of other keywords that a task holds before it sums them up, and sums it holds before it hands them on.
+PAIRS, SUMS = 1 << 22, 1 << 20
+
+#: Sets multiplied at a time; their products stay exact in 32-bit floats.
+TOGETHER = 1024
+
+
+def keyword_sets(
+    docs: DataFrame, lexicon: Lexicon, *, text: str = "text", key: Key = ("doc_id",)
+) -> DataFrame:
+    """``ids``: the positions of the keywords that each document contains, ascending.
+
+    Words become positions in the row that holds them if the dictionary is small, so that neither
+    words nor sets of them are shuffled.
+    """
+    if lexicon.words is None:
+        rows = identified(docs.select(text))
+        found = keyword_positions(rows, lexicon, text=text, key=(ROW,), once=True)
+        return found.groupBy(ROW).agg(F.sort_array(F.collect_set("kw_id")).alias("ids")).select("ids")
+    rows = lexicon.table.toArrow().sort_by("kw_id")  # as many as lexicon.words
+    words, ids = rows.column("kw").combine_chunks(), rows.column("kw_id").to_numpy().astype(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column(0)
+            mine = ids[pc.index_in(found.flatten(), value_set=words).to_numpy(zero_copy_only=False).astype(np.int64)]
+            starts = found.offsets.to_numpy()
+            of = np.repeat(np.arange(len(found)), np.diff(starts))
+            ordered = pa.array(mine[np.lexsort((mine, of))])
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(starts - starts[0], ordered)], names=["ids"])
+
+    found = with_keywords(docs, lexicon, text=text, key=key).select("keywords")
+    return found.mapInArrow(run, "ids array<bigint>")
+
+
+def block_pairs(sets: DataFrame, heavy: int) -> DataFrame:
+    """``left, right``: every set above ``heavy`` as pairs of its blocks, each a row of its own.
+
+    A set of k blocks becomes the k (k + 1) / 2 pairs of a block with itself or a later one. Rows are
+    dealt out by a hash of their own, so the pairs of one set are formed in many tasks.
+    """
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    starts = F.sequence(F.lit(1), F.size("ids"), F.lit(heavy))
+    cut = F.transform(starts, lambda at: F.slice("ids", at, heavy))
+    blocks = sets.where(F.size("ids") > heavy).select(cut.alias("blocks"))
+    lefts = blocks.select("blocks", F.posexplode("blocks").alias("i", "left"))
+    rights = F.posexplode(F.slice("blocks", F.col("i") + 1, F.size("blocks"))).alias("j", "right")
+    pairs = lefts.select("left", rights)
+    # The first block is the left one itself: its pairs lie above the diagonal.
+    rows = pairs.select("left", F.when(F.col("j") > 0, F.col("right")).alias("right"))
+    return rows.withColumn("_row", F.monotonically_increasing_id()).repartition(parts, "_row").drop("_row")
+
+
+def frequent_ids(sets: DataFrame) -> np.ndarray:
+    """The ids that most of the sets have, at most ``DENSE``, ascending."""
+    counts = sets.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    most = counts.orderBy(F.desc("n"), "id").limit(DENSE).collect()
+    return np.array(sorted(row["id"] for row in most), np.int64)
+
+
+def pair_sums(sets: DataFrame, dense: np.ndarray, *, heavy: int | None = None) -> DataFrame:
+    """``kw_id, other_id, n`` with ``kw_id < other_id``: in how many of ``sets (ids)`` both are.
+
+    Every task adds up its own pairs before any shuffle. Pairs of two ids in ``dense`` are counted by
+    a product of a 0/1 matrix with itself, all others one by one. Sets above ``heavy`` are cut into
+    blocks whose pairs are dealt to tasks of their own; with ``heavy`` 0 there are none.
+    """
+    heavy = HEAVY if heavy is None else heavy
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _PairSums(dense)
+        for batch in batches:
+            for i in range(0, len(batch), TOGETHER):
+                part = batch.slice(i, TOGETHER)
+                lefts, rights = part.column(0).to_pylist(), part.column(1).to_pylist()
+                sums.add([np.array(x, np.int64) for x in lefts], [None if x is None else np.array(x, np.int64) for x in rights])
+                if sums.full():
+                    yield sums.handed_on()
+        yield sums.handed_on()
+        yield sums.of_dense()
+
+    whole = [F.col("ids").alias("left"), F.lit(None).cast("array<bigint>").alias("right")]
+    rows = sets.select(*whole)
+    if heavy:
+        rows = sets.where(F.size("ids") <= heavy).select(*whole).unionByName(block_pairs(sets, heavy))
+    found = rows.mapInArrow(run, "kw_id bigint, other_id bigint, n bigint")
+    return found.groupBy("kw_id", "other_id").agg(F.sum("n").alias("n"))
+
+
+class _PairSums:
+    """The pairs that one task has counted."""
+
+    def __init__(self, dense: np.ndarray):
+        self.ids = dense
+        self.square = np.zeros((len(dense), len(dense)), np.int64)
+        self.held: list[np.ndarray] = []
+        self.n_held = 0
+        self.pairs, self.counts = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
+
+    def add(self, lefts: list[np.ndarray], rights: list[np.ndarray | None]) -> None:
+        """Count the pairs of each left set, or those between a left and a right one."""
+        matrix, other = (np.zeros((len(lefts), len(self.ids)), np.float32) for _ in range(2))
+        for i, (left, right) in enumerate(zip(lefts, rights, strict=True)):
+            ours = self._marked(matrix[i], left)
+            theirs = ours if right is None else self._marked(other[i], right)
+            self._hold(left, ours, right, theirs)
+        one = np.array([right is None for right in rights])
+        if one.any():
+            self.square += np.triu(matrix[one].T @ matrix[one], 1).astype(np.int64)
+        if not one.all():
+            self.square += (matrix[~one].T @ other[~one]).astype(np.int64)
+
+    def _marked(self, row: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Which of the ids are counted densely; they are marked in ``row``."""
+        if not len(self.ids):
+            return np.zeros(len(ids), bool)
+        at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+        dense = self.ids[at] == ids
+        row[at[dense]] = 1
+        return dense
+
+    def _hold(self, left: np.ndarray, ours: np.ndarray, right: np.ndarray | None, theirs: np.ndarray) -> None:
+        """Pairs with at least one id that isn't counted densely."""
+        if ours.all() and theirs.all():
+            return
+        rare = np.flatnonzero(~ours)
+        if right is None:
+            # A rare one with all behind it, and the dense ones with the rare ones behind them.
+            i = np.repeat(rare, len(left) - 1 - rare)
+            behind = [np.arange(k + 1, len(left)) for k in rare]
+            j = np.concatenate(behind) if behind else i
+            first = np.repeat(np.arange(len(left)), len(rare))
+            second = np.tile(rare, len(left))
+            keep = (first < second) & ours[first]
+            pairs = np.stack([left[np.append(i, first[keep])], left[np.append(j, second[keep])]], axis=1)
+        else:
+            i, j = np.repeat(np.arange(len(left)), len(right)), np.tile(np.arange(len(right)), len(left))
+            keep = ~(ours[i] & theirs[j])
+            pairs = np.stack([left[i[keep]], right[j[keep]]], axis=1)
+        self.held.append(pairs)
+        self.n_held += len(pairs)
+        if self.n_held > PAIRS:
+            self._sum_up()
+
+    def _sum_up(self) -> None:
+        if self.held:
+            pairs = np.concatenate([self.pairs, *self.held])
+            n = np.concatenate([self.counts, np.ones(self.n_held, np.int64)])
+            order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+            pairs, n = pairs[order], n[order]
+            first = np.flatnonzero(np.append(len(n) > 0, (pairs[1:] != pairs[:-1]).any(axis=1)))
+            self.pairs, self.counts = pairs[first], np.add.reduceat(n, first) if len(first) else n
+            self.held, self.n_held = [], 0
+
+    def full(self) -> bool:
+        return len(self.counts) > SUMS
+
+    def handed_on(self) -> pa.RecordBatch:
+        self._sum_up()
+        pairs, counts = self.pairs, self.counts
+        self.pairs, self.counts = np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
+        return _batch(pairs[:, 0], pairs[:, 1], counts)
+
+    def of_dense(self) -> pa.RecordBatch:
+        i, j = np.nonzero(self.square)
+        return _batch(self.ids[i], self.ids[j], self.square[i, j])
+
+
+def _batch(i: np.ndarray, j: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(n)], names=["kw_id", "other_id", "n"])
 
 
 def upper_edges(
     docs: DataFrame, lexicon: Lexicon, *, text: str = "text", key: Key = ("doc_id",)
 ) -> DataFrame:
-    """``kw_id, other_id, kw, other_kw, n`` with ``kw_id < other_id``: documents with both.
+    """``kw_id, other_id, kw, other_kw, n`` with ``kw_id < other_id``: documents with both."""
+    return named_edges(edge_counts(docs, lexicon, text=text, key=key), lexicon)
+
+
+def edge_counts(
+    docs: DataFrame, lexicon: Lexicon, *, text: str = "text", key: Key = ("doc_id",)
+) -> DataFrame:
+    """``kw_id, other_id, n`` with ``kw_id < other_id``: documents with both.
 
-    Documents with the same set of keywords are counted first, so the pairs of a set are formed
-    once however many copies share it. Pairs are formed of positions, not of words, and partial
-    sums leave each task before any shuffle.
+    A dictionary of at most ``DENSE`` words is counted densely, straight from the matching. For
+    others the sets are written first, as they are read to find the frequent words and the heavy sets.
     """
-    # Sets are small to store and much work to pair up: with a number of partitions of its own,
-    # this shuffle is not coalesced by size. The grouping below reuses its partitioning.
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sets = (
-        with_keywords(docs, lexicon, text=text, key=key)
-        .groupBy("keywords")
-        .agg(F.count(F.lit(1)).alias("docs"))
-        .withColumn("_set", F.sha2(F.to_json("keywords"), 256))
-        .repartition(parts, "_set")
-    )
+    sets = keyword_sets(docs, lexicon, text=text, key=key)
+    if lexicon.words is not None and len(lexicon.words) <= DENSE:
+        ids = lexicon.table.select("kw_id").toArrow().column(0).to_numpy()
+        return pair_sums(sets, np.sort(ids.astype(np.int64)), heavy=0)
+    sets = materialize(sets, "keyword-sets")
+    return pair_sums(sets, frequent_ids(sets))
+
+
+def named_edges(sums: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """``kw_id, other_id, n`` with both keywords added."""
     ids = lexicon.table
-    words = exploded(sets, "keywords", "kw", "_set", "docs")
-    id_sets = (
-        lookup(words, ids, "kw", small=lexicon.is_small)
-        .groupBy("_set", "docs")
-        .agg(F.sort_array(F.collect_list("kw_id")).alias("ids"))
-    )
-    pairs = (
-        id_sets.select("docs", "ids", F.posexplode("ids").alias("i", "kw_id"))
-        .select(
-            "docs",
-            "kw_id",
-            F.explode(F.slice("ids", F.col("i") + 2, F.size("ids"))).alias("other_id"),
-        )
-        .groupBy("kw_id", "other_id")
-        .agg(F.sum("docs").alias("n"))
-    )
     others = ids.select(F.col("kw_id").alias("other_id"), F.col("kw").alias("other_kw"))
-    named = lookup(pairs, ids, "kw_id", small=lexicon.is_small)
+    named = lookup(sums, ids, "kw_id", small=lexicon.is_small)
+    kind = ids.schema["kw_id"].dataType
     return lookup(named, others, "other_id", small=lexicon.is_small).select(
-        "kw_id", "other_id", "kw", "other_kw", "n"
+        F.col("kw_id").cast(kind).alias("kw_id"), F.col("other_id").cast(kind).alias("other_id"), "kw", "other_kw", "n"
     )
 
 
