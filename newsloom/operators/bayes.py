@@ -8,6 +8,7 @@ class sums together. Everything after it works on that small table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -15,21 +16,22 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, IndexToString, Normalizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
 from newsloom.lineage import materialize
+from newsloom.operators.artifacts import Artifact, load, save
 from newsloom.operators.joins import lookup
 from newsloom.operators.lexicon import Lexicon
-from newsloom.operators.matching import Key, with_terms
-from newsloom.operators.terms import numbered_by_range
+from newsloom.operators.matching import ROW, Key, identified, with_terms
+from newsloom.operators.terms import numbered_by_range, tfidf
 
 #: Models up to this many label-term cells are held by the ML pipeline; larger ones are joined.
 MAX_CELLS = 2_000_000
 
-_TABLES = ("labels", "terms", "weights")
+_TABLES = ("labels", "terms", "cells")
 
 
 def class_term_stats(
@@ -62,28 +64,52 @@ def class_term_stats(
 class BayesModel:
     """A trained model as tables.
 
-    ``labels``: label_id, label, n_docs, prior. ``terms``: term_id, term, idf.
-    ``weights``: label_id, label, term, weight_sum, theta for every label and term.
+    ``labels``: label_id, label, n_docs, prior, base. ``terms``: term_id, term, idf. ``cells``:
+    label_id, label, term, weight_sum, theta, gain for the terms that a label was seen with. Every
+    other term has the log-likelihood ``base`` of the label, and ``gain`` is what theta has above it,
+    so the model has as many cells as were seen, whatever the number of labels.
     """
 
     labels: DataFrame
     terms: DataFrame
-    weights: DataFrame
+    cells: DataFrame
     smoothing: float = 1.0
 
-    def save(self, path: str, *, mode: str = "errorifexists") -> None:
-        for name in _TABLES:
-            getattr(self, name).write.mode(mode).parquet(f"{path}/{name}")
-        constants = self.labels.sparkSession.range(1).select(
-            F.lit(self.smoothing).alias("smoothing")
+    @property
+    def weights(self) -> DataFrame:
+        """label_id, label, term, weight_sum, theta for every label and term."""
+        every = self.labels.agg(F.sort_array(F.collect_list(F.struct("label_id", "label", "base")))).scalar()
+        grid = self.terms.select("term", F.inline(every))
+        seen = self.cells.select("label_id", "term", "weight_sum", "theta")
+        return grid.join(seen, ["label_id", "term"], "left").select(
+            "label_id",
+            "label",
+            "term",
+            F.coalesce("weight_sum", F.lit(0.0)).alias("weight_sum"),
+            F.coalesce("theta", "base").alias("theta"),
         )
-        constants.write.mode(mode).parquet(f"{path}/constants")
+
+    def tables(self) -> dict[str, DataFrame]:
+        """The model's tables, under the names they are saved by."""
+        return {name: getattr(self, name) for name in _TABLES}
+
+    @classmethod
+    def of(cls, saved: Artifact) -> BayesModel:
+        """The model in a loaded artifact."""
+        return cls(*[saved[name] for name in _TABLES], smoothing=saved.constants["smoothing"])
+
+    def save(self, path: str) -> None:
+        """Save as an artifact of its own; it is an error if there is one."""
+        try:
+            load(self.labels.sparkSession, path)
+        except FileNotFoundError:
+            save(path, self.tables(), smoothing=self.smoothing)
+        else:
+            raise FileExistsError(f"{path} already exists")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> BayesModel:
-        tables = [spark.read.parquet(f"{path}/{name}") for name in _TABLES]
-        constants = spark.read.parquet(f"{path}/constants").first()
-        return cls(*tables, smoothing=constants["smoothing"])
+        return cls.of(load(spark, path))
 
 
 def train(
@@ -103,46 +129,46 @@ def model_of(stats: DataFrame, *, smoothing: float = 1.0) -> BayesModel:
 
     Its tables are derived from ``stats``, which should be written rather than lazy.
     """
+    if smoothing <= 0:
+        raise ValueError("smoothing must be above zero")
     no_term = F.col("term").isNull()
     counted = stats.where(no_term)
     n_docs = counted.agg(F.sum("n")).scalar()
     n_labels = counted.agg(F.count(F.lit(1))).scalar()
-    by_first = Window.orderBy("first", "label")  # one row per label
-    labels = counted.select(
-        (F.row_number().over(by_first) - 1).cast("int").alias("label_id"),
-        "label",
-        F.col("n").alias("n_docs"),
-        (F.ln(F.col("n") + smoothing) - F.ln(n_docs + n_labels * F.lit(smoothing))).alias("prior"),
-    )
-    per_term = (
-        stats.where(~no_term)
-        .groupBy("term")
-        .agg(
-            (n_docs / F.sum("n")).alias("idf"),
-            F.map_from_entries(F.collect_list(F.struct("label", "share"))).alias("_shares"),
-        )
+    numbered = numbered_by_range(counted.select("label", "n", "first"), ["first", "label"], "label_id")
+    per_term = stats.where(~no_term).groupBy("term").agg((n_docs / F.sum("n")).alias("idf"))
+    terms = numbered_by_range(per_term, ["term"], "term_id").select("term_id", "term", "idf")
+    seen = stats.where(~no_term).join(terms.select("term", "idf"), "term").select(
+        "label", "term", (F.col("idf") * F.col("share")).alias("weight_sum")
     )
-    terms = numbered_by_range(per_term.select("term", "idf"), ["term"], "term_id")
-    all_labels = counted.agg(F.collect_list("label")).scalar()
-    share = F.coalesce(F.col("_shares")[F.col("label")], F.lit(0.0))
-    grid = per_term.select(
-        "term", "idf", "_shares", F.explode(all_labels).alias("label")
-    ).select("term", "label", (F.col("idf") * share).alias("weight_sum"))
-    totals = grid.groupBy("label").agg(
-        F.ln(F.sum("weight_sum") + smoothing * F.count(F.lit(1))).alias("_log_total")
-    )
-    weights = (
-        grid.join(totals, "label")
-        .join(labels.select("label_id", "label"), "label")
-        .select(
+    sums = seen.groupBy("label").agg(F.sum("weight_sum").alias("_seen"))
+    n_terms = terms.agg(F.count(F.lit(1))).scalar()
+    log_total = F.ln(F.coalesce("_seen", F.lit(0.0)) + F.lit(smoothing) * n_terms)
+    labels = materialize(
+        numbered.join(sums, "label", "left").select(
             "label_id",
             "label",
-            "term",
-            "weight_sum",
-            (F.ln(F.col("weight_sum") + smoothing) - F.col("_log_total")).alias("theta"),
-        )
+            F.col("n").alias("n_docs"),
+            (F.ln(F.col("n") + smoothing) - F.ln(n_docs + n_labels * F.lit(smoothing))).alias("prior"),
+            (F.lit(math.log(smoothing)) - F.when(n_terms > 0, log_total)).alias("base"),
+        ),
+        "labels",
+    )
+    theta = F.ln(F.col("weight_sum") + smoothing) + F.col("base") - F.lit(math.log(smoothing))
+    cells = seen.join(labels.select("label_id", "label", "base"), "label").select(
+        "label_id", "label", "term", "weight_sum", theta.alias("theta"), (theta - F.col("base")).alias("gain")
     )
-    return BayesModel(labels, terms.select("term_id", "term", "idf"), weights, smoothing)
+    return BayesModel(labels, terms, cells, smoothing)
+
+
+def best_without_terms(labels: DataFrame) -> DataFrame:
+    """The labels that can win by prior and base alone, whatever the weight of a text.
+
+    A label drops out if another one has no smaller prior and base; of equal ones the lowest id stays.
+    """
+    above = Window.orderBy(F.desc("prior"), "label_id").rowsBetween(Window.unboundedPreceding, -1)  # one row per label
+    most = F.max("base").over(above)
+    return labels.withColumn("_most", most).where(F.col("_most").isNull() | (F.col("base") > F.col("_most"))).drop("_most")
 
 
 def predict(
@@ -150,38 +176,52 @@ def predict(
 ) -> DataFrame:
     """``key, label``: the most likely label by joins alone, for models of any size.
 
-    Terms the training never saw are dropped before shares are taken. A document without known
-    terms gets the label with the highest prior; of equal scores the lowest label id wins.
+    The score of a label is its prior, its base times the weight of the text, and the gains of the
+    terms that were seen with it; only those are joined. Terms the training never saw are dropped
+    before shares are taken. A document without known terms gets the label with the highest prior;
+    of equal scores the lowest label id wins.
     """
-    per_term = (
-        model.weights.groupBy("term")
-        .agg(F.collect_list(F.struct("label_id", "theta")).alias("thetas"))
-        .join(model.terms.select("term", "idf"), "term")
-    )
+    gains = model.cells.groupBy("term").agg(F.collect_list(F.struct("label_id", "gain")).alias("gains"))
+    per_term = model.terms.select("term", "idf").join(gains, "term", "left")
     counts = tokenized.select(*key, F.inline(T.term_counts(F.col("terms"))))
+    # One more entry per term counts the text itself.
+    itself = F.array(F.struct(F.lit(None).cast("int").alias("label_id"), F.lit(1.0).alias("gain")))
+    entries = F.when(F.col("gains").isNull(), itself).otherwise(F.concat(itself, "gains"))
     scores = (
         lookup(counts, per_term, "term", small=small)
-        .select(*key, "n", (F.col("n") * F.col("idf")).alias("_weight"), F.inline("thetas"))
+        .select(*key, "n", (F.col("n") * F.col("idf")).alias("_weight"), F.inline(entries))
         .groupBy(*key, "label_id")
-        .agg((F.sum(F.col("_weight") * F.col("theta")) / F.sum("n")).alias("_score"))
+        .agg(F.sum(F.col("_weight") * F.col("gain")).alias("_sum"), F.sum("n").alias("_n"))
         .groupBy(*key)
-        .agg(F.map_from_entries(F.collect_list(F.struct("label_id", "_score"))).alias("_scores"))
+        .agg(
+            F.max(F.when(F.col("label_id").isNull(), F.col("_sum"))).alias("_weight"),
+            F.max(F.when(F.col("label_id").isNull(), F.col("_n"))).alias("_total"),
+            F.collect_list(F.when(F.col("label_id").isNotNull(), F.struct("label_id", "_sum"))).alias("_gains"),
+        )
     )
-    priors = model.labels.agg(
-        F.sort_array(F.collect_list(F.struct("label_id", "label", "prior")))
-    ).scalar()
-    ranked = F.transform(
-        F.col("_priors"),
-        lambda p: F.struct(
-            (p["prior"] + F.coalesce(F.col("_scores")[p["label_id"]], F.lit(0.0))).alias("score"),
-            (-p["label_id"]).alias("order"),
-            p["label"].alias("label"),
-        ),
+    listed = F.sort_array(F.collect_list(F.struct("label_id", "label", "prior", "base")))
+    every = model.labels.agg(listed).scalar()
+    alone = best_without_terms(model.labels).agg(listed).scalar()
+    weight = F.coalesce(F.col("_weight") / F.col("_total"), F.lit(0.0))
+
+    def scored(label: Column, gain: Column) -> Column:
+        return F.struct(
+            (label["prior"] + F.coalesce(label["base"], F.lit(0.0)) * weight + gain).alias("score"),
+            (-label["label_id"]).alias("order"),
+            label["label"].alias("label"),
+        )
+
+    # Label ids are places in the sorted list.
+    touched = F.transform(
+        F.coalesce("_gains", F.array().cast("array<struct<label_id:int,_sum:double>>")),
+        lambda g: scored(F.get(F.col("_every"), g["label_id"]), g["_sum"] / F.col("_total")),
     )
+    ranked = F.concat(touched, F.transform("_alone", lambda label: scored(label, F.lit(0.0))))
     return (
         tokenized.select(*key)
         .join(scores, list(key), "left")
-        .withColumn("_priors", priors)
+        .withColumn("_every", every)
+        .withColumn("_alone", alone)
         .select(*key, F.array_max(ranked)["label"].alias("label"))
     )
 
@@ -215,12 +255,27 @@ def tfidf_vectors(tokenized: DataFrame, model: BayesModel, *, output: str = "wei
     if not vocabulary:
         return tokenized.withColumn(output, array_to_vector(F.array().cast("array<double>")))
     if len(vocabulary) > MAX_CELLS:
-        raise ValueError("use tfidf() for very large vocabularies")
+        return _joined_vectors(tokenized, model, output)
     vocabulary.sort(key=lambda row: row["term_id"])
     vectors = vectorizer(vocabulary, "terms", output).transform(tokenized)
     return vectors.drop("_counts", "_shares")
 
 
+def _joined_vectors(tokenized: DataFrame, model: BayesModel, output: str) -> DataFrame:
+    """The same vectors from a joined table of weights, for vocabularies that no task holds."""
+    size = model.terms.count()
+    vector = F.udf(lambda at, values: Vectors.sparse(size, at or [], values or []), VectorUDT())
+    rows = identified(tokenized)
+    weights = tfidf(rows, model.terms, key=(ROW,), small=False)
+    named = lookup(weights, model.terms.select("term", "term_id"), "term", small=False)
+    entries = named.where(F.col("weight") != 0).groupBy(ROW).agg(
+        F.sort_array(F.collect_list(F.struct("term_id", "weight"))).alias("_entries")
+    )
+    joined = rows.join(entries, ROW, "left")
+    columns = [joined[c] for c in tokenized.columns if c != output]
+    return joined.select(*columns, vector("_entries.term_id", "_entries.weight").alias(output))
+
+
 def pipeline_of(
     model: BayesModel, *, terms: str = "terms", label: str = "label"
 ) -> PipelineModel | None:
