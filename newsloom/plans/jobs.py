@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newsloom.operators import bayes, cooccurrence, embeddings, keywords, matrix
+from newsloom.operators import bayes, cooccurrence, embeddings, keywords, matrix, skipgram
 from newsloom.operators.lexicon import Lexicon
 from newsloom.operators.matching import with_terms
 from newsloom.sources import files, sinks
@@ -61,8 +62,10 @@ def classify_histogram(
 
 def word_synonyms(spark: SparkSession, segmented: str, word: str, k: int = 10) -> DataFrame:
     """The words nearest to a word, by vectors trained on segmented text."""
-    model = embeddings.fit_word2vec(files.read_segmented(spark, segmented))
-    return embeddings.synonyms(model, word, k)
+    vectors = skipgram.fit(files.read_segmented(spark, segmented))
+    asked = spark.createDataFrame([(word,)], "word string")
+    found = embeddings.nearest(vectors, asked, k)
+    return found.orderBy("rank").select(F.col("neighbour").alias("word"), "similarity")
 
 
 def matrix_product(spark: SparkSession, left: str, right: str) -> DataFrame:

@@ -15,9 +15,21 @@ from pyspark.sql import functions as F
 from newsloom.functions import text as T
 from newsloom.functions.vectors import sparse_entries
 from newsloom.lineage import fresh_path, materialize
-from newsloom.operators import bayes, cooccurrence, embeddings, keywords, matrix, terms
+from newsloom.operators import (
+    artifacts,
+    bayes,
+    cooccurrence,
+    embeddings,
+    keywords,
+    matrix,
+    neighbours,
+    skipgram,
+    terms,
+    tiles,
+)
 from newsloom.operators.lexicon import Lexicon
 from newsloom.operators.matching import with_terms
+from newsloom.plans import jobs
 from newsloom.sources import files, sinks
 from newsloom.sources.tables import read_table
 
@@ -51,6 +63,9 @@ PAIRS = [("the", "and"), ("les", "que"), ("worthless", "pathetic"), ("the", "zzz
 ASKED_KEYWORD = "les"
 ASKED_POSITION = 9
 
+#: The month, and the beginning of the months, that are read by name (fixed values).
+MONTH, LAST_MONTHS = "200812", "20081"
+
 #: The word looked up by ``word2vec_synonyms``.
 ASKED_WORD = "the"
 
@@ -309,7 +324,7 @@ def nb_model(dictionary: Dictionary) -> Query:
 
 def nb_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _model(spark, sf_dir, _keywords(spark, sf_dir))
-    return model.labels.withColumn("prior", F.round("prior", 9))
+    return model.labels.select("label_id", "label", "n_docs", F.round("prior", 9).alias("prior"))
 
 
 def nb_predict(dictionary: Dictionary, corpus: str) -> Query:
@@ -413,10 +428,46 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("similarity", F.round("similarity", 9))
 
 
-def word2vec_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nearest_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every vector, each group of vectors left out that can't hold one."""
+    vectors = read_table(spark, f"{sf_dir}/embeddings.parquet", spread_by="vec_id")
+    found = neighbours.nearest_many(vectors, vectors.select("vec_id"), 10, word="vec_id", vector="embedding")
+    return found.withColumn("similarity", F.round("similarity", 9))
+
+
+def gram_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transposed matrix of all vectors times the matrix itself, by tiles."""
+    cells = materialize(matrix.cells(_matrix(spark, sf_dir)[0]), "vector-cells")
+    return tiles.product(matrix.transpose(cells), cells).withColumn("value", F.round("value", 6))
+
+
+def _segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
-    segmented = docs.select(F.split(sinks.one_line(F.col("text")), " ").alias("tokens"))
-    return embeddings.synonyms(embeddings.fit_word2vec(segmented), ASKED_WORD)
+    return docs.select(F.split(sinks.one_line(F.col("text")), " ").alias("tokens"))
+
+
+def word2vec_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten words nearest to a word, by vectors trained on the documents."""
+    vectors = skipgram.fit(_segmented(spark, sf_dir))
+    asked = vectors.where(F.col("word") == ASKED_WORD).select("word")
+    found = embeddings.nearest(vectors, asked, 10).orderBy("rank")
+    return found.select(F.col("neighbour").alias("word"), "similarity")
+
+
+def word2vec_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that vectors are trained for, with their numbers and occurrences."""
+    return skipgram.vocabulary(_segmented(spark, sf_dir))
+
+
+def word2vec_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the training counts: for every word the different words near it, and their weight."""
+    segmented = _segmented(spark, sf_dir)
+    words = skipgram.vocabulary(segmented)
+    pairs = skipgram.pair_weights(segmented, words)
+    per_word = pairs.groupBy("center").agg(
+        F.count(F.lit(1)).alias("n_contexts"), F.round(F.sum("weight"), 6).alias("weight")
+    )
+    return words.join(per_word, F.col("id") == F.col("center")).select("word", "n_contexts", "weight")
 
 
 # Files
@@ -460,31 +511,35 @@ def segmented_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
-def path_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines and characters by folder, for the files whose path contains ``label=``."""
-    path = fresh_path(spark, "by-label")
+def _monthly(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A folder with a folder of tab-separated documents for each month; a document's month follows its id."""
+    path = fresh_path(spark, name)
     docs = _documents(spark, sf_dir)
-    docs.select(sinks.one_line(F.col("text")).alias("value"), "label").write.partitionBy(
-        "label"
-    ).text(path)
-    lines = files.read_lines_with_path(spark, path, name_contains="label=")
+    month = F.concat(F.lit("2008"), F.lpad((F.pmod("doc_id", F.lit(12)) + 1).cast("string"), 2, "0"))
+    line = F.concat_ws("\t", F.col("doc_id").cast("string"), "label", sinks.one_line(F.col("text")))
+    docs.select(line.alias("value"), month.alias("month")).write.option(
+        "maxRecordsPerFile", 1000
+    ).partitionBy("month").text(path)
+    return path
+
+
+def path_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and characters of the folders whose name holds ``20081``: the last three months of the year."""
+    path = _monthly(spark, sf_dir, "by-month")
+    lines = files.read_lines_with_path(spark, path, name_contains=LAST_MONTHS)
     return (
-        lines.groupBy(F.regexp_extract("path", "label=([^/]*)/", 1).alias("label"))
+        lines.groupBy(F.regexp_extract("path", "month=([^/]*)/", 1).alias("month"))
         .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("text")).alias("n_chars"))
     )
 
 
 def whole_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files read whole: lines and characters by folder, for one label's folder by name."""
-    path = fresh_path(spark, "whole")
-    docs = _documents(spark, sf_dir)
-    docs.select(sinks.one_line(F.col("text")).alias("value"), "label").write.option(
-        "maxRecordsPerFile", 1000
-    ).partitionBy("label").text(path)
-    contents = files.read_whole_files(spark, path, name_contains="label=")
+    """Files of one month of several, read whole: lines and characters."""
+    path = _monthly(spark, sf_dir, "whole")
+    contents = files.read_whole_files(spark, path, name_contains=MONTH)
     breaks = F.length("content") - F.length(F.replace("content", F.lit("\n")))
     return (
-        contents.groupBy(F.regexp_extract("path", "label=([^/]*)/", 1).alias("label"))
+        contents.groupBy(F.regexp_extract("path", "month=([^/]*)/", 1).alias("month"))
         .agg(
             F.sum(breaks).cast("bigint").alias("n_lines"),
             F.sum(F.length("content")).alias("n_chars"),
@@ -492,6 +547,99 @@ def whole_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def month_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In how many documents of one month each keyword occurs, in the third field of the month's files."""
+    path = _monthly(spark, sf_dir, "month")
+    lines = files.read_lines_with_path(spark, path, name_contains=MONTH)
+    bodies = lines.select(files.tab_field(F.col("text"), 2).alias("text"))
+    return keywords.document_frequency(bodies, _keywords(spark, sf_dir))
+
+
+def classification_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classification from files to histogram: training lines, dictionary and texts are written and read."""
+    paths = {name: fresh_path(spark, f"news-{name}") for name in ("training", "dictionary", "texts", "model")}
+    sinks.write_labelled(_documents(spark, sf_dir), paths["training"])
+    words = _keywords(spark, sf_dir).table.orderBy("kw_id").select(F.col("kw").alias("value"))
+    # The file format ends a keyword at its first blank.
+    words.where(~F.contains("value", F.lit(" "))).coalesce(1).write.text(paths["dictionary"])
+    turns = read_table(spark, f"{sf_dir}/conversations.parquet", spread_by="conv_id")
+    turns.select(sinks.one_line(F.col("text")).alias("value")).write.text(paths["texts"])
+    jobs.train_classifier(spark, paths["training"], paths["dictionary"], paths["model"])
+    return jobs.classify_histogram(spark, paths["texts"], paths["dictionary"], paths["model"])
+
+
+# What is kept between runs
+
+
+def edge_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of all documents from batches by language, one of them added twice, half of them compacted."""
+    lexicon = _keywords(spark, sf_dir)
+    store = artifacts.EdgeStore(spark, fresh_path(spark, "edge-store"))
+    docs = _documents(spark, sf_dir)
+    english = F.col("label").eqNullSafe("en")
+    for name, part in (("en", english), ("de", F.col("label").eqNullSafe("de")), ("en", english)):
+        store.add(name, cooccurrence.edge_counts(docs.where(part), lexicon), lexicon.table)
+    store.compact()
+    others = ~english & ~F.col("label").eqNullSafe("de")
+    store.add("others", cooccurrence.edge_counts(docs.where(others), lexicon), lexicon.table)
+    return cooccurrence.both_directions(cooccurrence.named_edges(store.counts(), lexicon))
+
+
+def _saved(spark: SparkSession, sf_dir: str) -> artifacts.Artifact:
+    """Dictionary, idf, classifier, edges and vectors, saved as one artifact and loaded."""
+    lexicon = _keywords(spark, sf_dir)
+    tokenized = _tokenized(spark, sf_dir, lexicon)
+    model = bayes.train(tokenized)
+    vectors = read_table(spark, f"{sf_dir}/embeddings.parquet").select(
+        F.col("vec_id").alias("word"), F.col("embedding").alias("vector")
+    )
+    path = fresh_path(spark, "news-model")
+    artifacts.save(
+        path,
+        {
+            "dictionary": lexicon.table,
+            "idf": terms.custom_idf(tokenized),
+            **model.tables(),
+            "edges": cooccurrence.edge_counts(_documents(spark, sf_dir), lexicon),
+            "vectors": vectors,
+        },
+        smoothing=model.smoothing,
+    )
+    return artifacts.load(spark, path)
+
+
+def saved_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations classified with a dictionary and a model that were saved and loaded."""
+    saved = _saved(spark, sf_dir)
+    texts = _corpora(spark, sf_dir)["conversations"]
+    lexicon = Lexicon.from_table(saved["dictionary"])
+    return bayes.classify(texts, lexicon, bayes.BayesModel.of(saved), key=("id", "part"))
+
+
+def saved_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations weighted with a dictionary and an idf that were saved and loaded."""
+    saved = _saved(spark, sf_dir)
+    lexicon = Lexicon.from_table(saved["dictionary"])
+    turns = with_terms(_corpora(spark, sf_dir)["conversations"], lexicon, key=("id", "part"))
+    weights = terms.tfidf(turns, saved["idf"], key=("id", "part"), small=lexicon.is_small)
+    return weights.withColumn("weight", F.round("weight", 9))
+
+
+def saved_partners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The partners of every keyword from saved edges."""
+    saved = _saved(spark, sf_dir)
+    lexicon = Lexicon.from_table(saved["dictionary"])
+    edges = cooccurrence.both_directions(cooccurrence.named_edges(saved["edges"], lexicon))
+    return cooccurrence.keyword_report(edges, lexicon)
+
+
+def saved_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest words of every third word from saved vectors."""
+    vectors = _saved(spark, sf_dir)["vectors"]
+    asked = vectors.where(F.col("word") % 3 == 0).select("word")
+    return neighbours.nearest_many(vectors, asked, 10).withColumn("similarity", F.round("similarity", 9))
+
+
 def counts_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyword counts written as ``(count,keyword)`` lines and read back."""
     path = fresh_path(spark, "counts")
@@ -534,10 +682,12 @@ def all_queries() -> dict[str, Query]:
         "joined_doc_freq": keyword_doc_freq(_joined),
         "keyword_occurrences": keyword_occurrences(_keywords),
         "lexicon_occurrences": keyword_occurrences(_lexicon),
+        "joined_occurrences": keyword_occurrences(_joined),
         "pair_count": pair_count,
         "docs_with_both": docs_with_both,
         "cooccurrence": cooccurrence_all(_keywords),
         "lexicon_cooccurrence": cooccurrence_all(_lexicon),
+        "joined_cooccurrence": cooccurrence_all(_joined),
         "cooccurrence_upper": _upper,
         "cooccurrence_lists": cooccurrence_lists,
         "adjacency_rows": adjacency_rows,
@@ -576,13 +726,24 @@ def all_queries() -> dict[str, Query]:
         "transpose": transpose,
         "matrix_shape": matrix_shape,
         "nearest_vectors": nearest_vectors,
+        "nearest_many": nearest_many,
+        "gram_matrix": gram_matrix,
         "word2vec_synonyms": word2vec_synonyms,
+        "word2vec_vocabulary": word2vec_vocabulary,
+        "word2vec_pairs": word2vec_pairs,
         "labelled_file": labelled_file,
         "document_file": document_file,
         "dictionary_file": dictionary_file,
         "segmented_file": segmented_file,
         "path_scan": path_scan,
         "whole_file_scan": whole_file_scan,
+        "month_keywords": month_keywords,
+        "classification_files": classification_files,
+        "edge_store": edge_store,
+        "saved_classifier": saved_classifier,
+        "saved_weights": saved_weights,
+        "saved_partners": saved_partners,
+        "saved_synonyms": saved_synonyms,
         "counts_sink": counts_sink,
         "matrix_files": matrix_files,
     }

@@ -81,27 +81,34 @@ def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _named(path: str, name_contains: str | None) -> str:
+    """The files and folders under a path, or those whose name holds some text, chosen when they are listed."""
+    if not name_contains:
+        return path
+    literal = "".join("\\" + c if c in "\\{}[]*?" else c for c in name_contains)
+    return f"{path.rstrip('/')}/*{literal}*"
+
+
 def read_whole_files(
     spark: SparkSession, path: str, *, name_contains: str | None = None
 ) -> DataFrame:
     """``path, content``: one row per file, for files that each fit in memory.
 
-    The name filter is applied when files are listed, so others are not opened.
+    With ``name_contains`` only files, and folders with all their files, whose name holds that text;
+    others are neither opened nor listed. It is an error if there are none.
     """
-    files = spark.read.text(path, wholetext=True).select(
+    return spark.read.text(_named(path, name_contains), wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")
     )
-    return files.where(F.contains("path", F.lit(name_contains))) if name_contains else files
 
 
 def read_lines_with_path(
     spark: SparkSession, path: str, *, name_contains: str | None = None
 ) -> DataFrame:
-    """``path, text``: lines with the file they come from; files of any size are split."""
-    lines = spark.read.text(path).select(
+    """``path, text``: lines with the file they come from, chosen in the same way; files of any size are split."""
+    return spark.read.text(_named(path, name_contains)).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
     )
-    return lines.where(F.contains("path", F.lit(name_contains))) if name_contains else lines
 
 
 def tab_field(content: Column, n: int) -> Column:

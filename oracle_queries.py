@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.plans.queries import ASKED_KEYWORD, ASKED_POSITION, KEYWORDS, PAIRS
+from newsloom.plans.queries import ASKED_KEYWORD, ASKED_POSITION, KEYWORDS, MONTH, PAIRS
 
 _KEYWORD_TABLE = (
     "kw AS (SELECT * FROM (VALUES "
@@ -129,6 +129,16 @@ FROM a JOIN b ON a.col = b."row" GROUP BY ALL"""
 
 _ONE_LINE = r"translate(text, chr(9) || chr(10) || chr(13), '   ')"
 
+_SEGMENTED = f"""
+spelt AS (
+  SELECT doc_id, unnest(string_split({_ONE_LINE}, ' ')) AS word,
+         generate_subscripts(string_split({_ONE_LINE}, ' '), 1) AS place
+  FROM documents
+),
+known AS (SELECT word, count(*) AS n FROM spelt GROUP BY word HAVING count(*) >= 5)"""
+
+_TAB_LINE = f"doc_id || chr(9) || lang || chr(9) || {_ONE_LINE}"
+
 
 def _with(*parts: str, select: str) -> str:
     return "WITH " + ",\n".join(part.strip() for part in parts) + "\n" + select.strip()
@@ -206,6 +216,56 @@ def _predict(words: str, corpus: str, columns: str = "id, part, label") -> str:
     )
 
 
+def _new_weights(words: str) -> str:
+    return _with(
+        words,
+        _TOKENS,
+        f"""
+        ntok AS (
+          SELECT conv_id AS id, turn AS part,
+                 unnest(regexp_extract_all(text, {_PATTERN})) AS term
+          FROM conversations
+        ),
+        ncounts AS (
+          SELECT t.id, t.part, t.term, count(*) AS n FROM ntok t JOIN idf USING (term)
+          GROUP BY ALL
+        )""",
+        select="""
+        SELECT c.id, c.part, c.term,
+               round(c.n / sum(c.n) OVER (PARTITION BY c.id, c.part) * i.idf, 9) AS weight
+        FROM ncounts c JOIN idf i USING (term)""",
+    )
+
+
+def _report(words: str) -> str:
+    return _with(
+        words,
+        _EDGES,
+        select="""
+        SELECT k.kw_id, k.kw, count(e.other_kw) AS n_partners,
+               coalesce(string_agg(e.other_kw || ':' || e.n, ',' ORDER BY e.n, e.other_kw), '')
+                 AS partners
+        FROM kw k LEFT JOIN edges e ON e.kw_id = k.kw_id GROUP BY k.kw_id, k.kw""",
+    )
+
+
+def _nearest(asked: str) -> str:
+    """The ten nearest vectors of those asked for."""
+    return f"""
+        WITH asked AS ({asked}),
+        pairs AS (
+          SELECT q.vec_id AS word, v.vec_id AS neighbour,
+                 list_cosine_similarity(CAST(q.embedding AS DOUBLE[]),
+                                        CAST(v.embedding AS DOUBLE[])) AS similarity
+          FROM asked q JOIN embeddings v ON v.vec_id <> q.vec_id
+        )
+        SELECT word, CAST(rank AS INTEGER) AS rank, neighbour,
+               round(similarity, 9) AS similarity
+        FROM (SELECT *, row_number() OVER (
+                PARTITION BY word ORDER BY similarity DESC, neighbour) AS rank FROM pairs)
+        WHERE rank <= 10"""
+
+
 def _pair_counts() -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{a}' AS kw, '{b}' AS other_kw, count(*) FILTER "
@@ -222,6 +282,7 @@ def all_oracles() -> dict[str, str]:
         "joined_doc_freq": _document_frequency(lexicon),
         "keyword_occurrences": _occurrences(keywords),
         "lexicon_occurrences": _occurrences(lexicon),
+        "joined_occurrences": _occurrences(lexicon),
         "pair_count": _pair_counts(),
         "docs_with_both": (
             f"SELECT doc_id FROM documents WHERE contains(text, '{PAIRS[0][0]}') "
@@ -229,6 +290,7 @@ def all_oracles() -> dict[str, str]:
         ),
         "cooccurrence": _cooccurrence(keywords),
         "lexicon_cooccurrence": _cooccurrence(lexicon),
+        "joined_cooccurrence": _cooccurrence(lexicon),
         "cooccurrence_upper": _with(
             keywords, _EDGES, select="SELECT * FROM edges WHERE kw_id < other_id"
         ),
@@ -266,15 +328,7 @@ def all_oracles() -> dict[str, str]:
         "partner_ids": _with(
             keywords, _EDGES, select=f"SELECT other_id, n FROM edges WHERE kw_id = {ASKED_POSITION}"
         ),
-        "keyword_report": _with(
-            keywords,
-            _EDGES,
-            select="""
-            SELECT k.kw_id, k.kw, count(e.other_kw) AS n_partners,
-                   coalesce(string_agg(e.other_kw || ':' || e.n, ',' ORDER BY e.n, e.other_kw), '')
-                     AS partners
-            FROM kw k LEFT JOIN edges e ON e.kw_id = k.kw_id GROUP BY k.kw_id, k.kw""",
-        ),
+        "keyword_report": _report(keywords),
         "dictionary_index": _with(
             keywords,
             _BENCHMARK_WORDS,
@@ -312,24 +366,7 @@ def all_oracles() -> dict[str, str]:
         ),
         "tfidf": _tfidf(keywords),
         "lexicon_tfidf": _tfidf(lexicon),
-        "tfidf_new_texts": _with(
-            lexicon,
-            _TOKENS,
-            f"""
-            ntok AS (
-              SELECT conv_id AS id, turn AS part,
-                     unnest(regexp_extract_all(text, {_PATTERN})) AS term
-              FROM conversations
-            ),
-            ncounts AS (
-              SELECT t.id, t.part, t.term, count(*) AS n FROM ntok t JOIN idf USING (term)
-              GROUP BY ALL
-            )""",
-            select="""
-            SELECT c.id, c.part, c.term,
-                   round(c.n / sum(c.n) OVER (PARTITION BY c.id, c.part) * i.idf, 9) AS weight
-            FROM ncounts c JOIN idf i USING (term)""",
-        ),
+        "tfidf_new_texts": _new_weights(lexicon),
         "tfidf_vectors": _with(
             keywords,
             _TOKENS,
@@ -384,22 +421,10 @@ def all_oracles() -> dict[str, str]:
         "row_matrix_multiply": _with(_MATRIX, select=_PRODUCT),
         "transpose": _with(_MATRIX, select='SELECT col AS "row", "row" AS col, value FROM a'),
         "matrix_shape": "SELECT count(*) AS n_rows, max(len(embedding)) AS n_cols FROM embeddings",
-        "nearest_vectors": """
-            WITH asked AS (
-              SELECT vec_id, embedding FROM embeddings
-              WHERE vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label)
-            ),
-            pairs AS (
-              SELECT q.vec_id AS word, v.vec_id AS neighbour,
-                     list_cosine_similarity(CAST(q.embedding AS DOUBLE[]),
-                                            CAST(v.embedding AS DOUBLE[])) AS similarity
-              FROM asked q JOIN embeddings v ON v.vec_id <> q.vec_id
-            )
-            SELECT word, CAST(rank AS INTEGER) AS rank, neighbour,
-                   round(similarity, 9) AS similarity
-            FROM (SELECT *, row_number() OVER (
-                    PARTITION BY word ORDER BY similarity DESC, neighbour) AS rank FROM pairs)
-            WHERE rank <= 10""",
+        "nearest_vectors": _nearest(
+            "SELECT vec_id, embedding FROM embeddings "
+            "WHERE vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label)"
+        ),
         "labelled_file": f"SELECT doc_id, lang AS label, {_ONE_LINE} AS text FROM documents",
         "document_file": _document_frequency(keywords),
         "dictionary_file": _with(lexicon, select="SELECT kw_id, kw FROM kw"),
@@ -407,13 +432,63 @@ def all_oracles() -> dict[str, str]:
             SELECT token, count(*) AS n FROM (
               SELECT unnest(string_split(rtrim({_ONE_LINE}, ' '), ' ')) AS token FROM documents
             ) GROUP BY token""",
-        "path_scan": """
-            SELECT lang AS label, count(*) AS n_lines, CAST(sum(length(text)) AS BIGINT) AS n_chars
-            FROM documents GROUP BY lang""",
-        "whole_file_scan": """
-            SELECT lang AS label, count(*) AS n_lines,
-                   CAST(sum(length(text) + 1) AS BIGINT) AS n_chars
-            FROM documents GROUP BY lang""",
+        "path_scan": f"""
+            SELECT '2008' || (doc_id % 12 + 1) AS month, count(*) AS n_lines,
+                   CAST(sum(length({_TAB_LINE})) AS BIGINT) AS n_chars
+            FROM documents WHERE doc_id % 12 + 1 >= 10 GROUP BY 1""",
+        "whole_file_scan": f"""
+            SELECT '{MONTH}' AS month, count(*) AS n_lines,
+                   CAST(sum(length({_TAB_LINE}) + 1) AS BIGINT) AS n_chars
+            FROM documents WHERE doc_id % 12 = 11 HAVING count(*) > 0""",
+        "month_keywords": _with(
+            keywords,
+            f"""
+            hits AS (
+              SELECT d.doc_id, k.kw FROM documents d JOIN kw k ON contains({_ONE_LINE}, k.kw)
+              WHERE d.doc_id % 12 = 11
+            )""",
+            select="SELECT count(*) AS n, kw FROM hits GROUP BY kw",
+        ),
+        "classification_files": _with(
+            _KEYWORD_TABLE.replace(f"({KEYWORDS.index('les des')}, 'les des'), ", ""),
+            _MODEL.replace("FROM documents", "FROM one_line_documents"),
+            _CORPORA,
+            f"chosen AS (SELECT corpus, id, part, {_ONE_LINE} AS text FROM corpora WHERE corpus = 'conversations')",
+            _PREDICTED,
+            select="SELECT label, count(*) AS n FROM predicted GROUP BY label",
+        ).replace("WITH ", f"WITH one_line_documents AS (SELECT doc_id, lang, {_ONE_LINE} AS text FROM documents),\n", 1),
+        "edge_store": _cooccurrence(keywords),
+        "saved_classifier": _predict(keywords, "conversations"),
+        "saved_weights": _new_weights(keywords),
+        "saved_partners": _report(keywords),
+        "saved_synonyms": _nearest("SELECT vec_id, embedding FROM embeddings WHERE vec_id % 3 = 0"),
+        "nearest_many": _nearest("SELECT vec_id, embedding FROM embeddings"),
+        "word2vec_vocabulary": _with(
+            _SEGMENTED,
+            select="SELECT CAST(row_number() OVER (ORDER BY word) - 1 AS INTEGER) AS id, word, n FROM known",
+        ),
+        "word2vec_pairs": _with(
+            _SEGMENTED,
+            """
+            placed AS (
+              SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS place
+              FROM spelt JOIN known USING (word)
+            ),
+            near AS (
+              SELECT a.word, b.word AS context, (6 - abs(a.place - b.place)) / 5 AS weight
+              FROM placed a JOIN placed b
+                ON a.doc_id = b.doc_id AND a.place <> b.place AND b.place BETWEEN a.place - 5 AND a.place + 5
+            )""",
+            select="""
+            SELECT word, count(DISTINCT context) AS n_contexts, round(sum(weight), 6) AS weight
+            FROM near GROUP BY word""",
+        ),
+        "gram_matrix": _with(
+            _MATRIX,
+            select="""
+            SELECT x.col AS "row", y.col, round(sum(x.value * y.value), 6) AS value
+            FROM a x JOIN a y ON x."row" = y."row" GROUP BY ALL""",
+        ),
         "counts_sink": _document_frequency(keywords),
         "matrix_files": _with(
             _MATRIX,
