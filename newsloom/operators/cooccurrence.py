@@ -64,7 +64,7 @@ def block_pairs(sets: DataFrame, heavy: int) -> DataFrame:
     dealt out by a hash of their own, so the pairs of one set are formed in many tasks.
     """
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    starts = F.sequence(F.lit(1), F.size("ids"), F.lit(heavy))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("ids"), F.lit(1)), F.lit(heavy))
     cut = F.transform(starts, lambda at: F.slice("ids", at, heavy))
     blocks = sets.where(F.size("ids") > heavy).select(cut.alias("blocks"))
     lefts = blocks.select("blocks", F.posexplode("blocks").alias("i", "left"))

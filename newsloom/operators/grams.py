@@ -124,6 +124,8 @@ class FiledGrams:
         order = np.argsort(gram, kind="stable")
         self.gram, self.size, self.back, self.ahead = gram[order], size[order], back[order], ahead[order]
         self.sizes = np.unique(size).tolist()
+        #: Whether the gram is all that its keywords are.
+        self.alone = (self.back == 0) & (self.ahead == self.size)
         self.shift = np.uint64(64 - max(int(np.ceil(np.log2(max(len(gram) * BITS, 64)))), 6))
         at = self.gram >> self.shift
         bits = np.zeros(1 << (64 - int(self.shift)), bool)
@@ -160,6 +162,12 @@ def candidates(docs: DataFrame, filed_grams: FiledGrams, *, text: str, key: Sequ
                 if not value:
                     continue
                 place, which = own.places(points(value))
+                if once:
+                    # What is around a gram that is a keyword by itself is the same everywhere.
+                    first = np.zeros(len(which), bool)
+                    first[np.unique(which, return_index=True)[1]] = True
+                    kept = first | ~own.alone[which]
+                    place, which = place[kept], which[kept]
                 begin = np.maximum(place - own.back[which], 0)
                 spans = zip(which.tolist(), place.tolist(), begin.tolist(), (place + own.ahead[which]).tolist(), strict=True)
                 found = [(row, at, pos, start, value[start:end]) for at, pos, start, end in spans]

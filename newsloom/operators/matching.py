@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
@@ -51,12 +51,8 @@ def with_terms(
         found = T.dictionary_tokens(F.col(text), lexicon.words)
         return docs.withColumn("terms", F.coalesce(found, T.no_strings()))
     docs = identified(docs)
-    best = (
-        keyword_positions(docs, lexicon, text=text, key=(ROW,))
-        .groupBy(ROW, "pos")
-        .agg(F.max_by("kw", "kw_id").alias("kw"))
-    )
-    cut = without_overlaps(best, [ROW]).groupBy(ROW).agg(
+    found = keyword_positions(docs, lexicon, text=text, key=(ROW,))
+    cut = without_overlaps(found, [ROW]).groupBy(ROW).agg(
         F.sort_array(F.collect_list(F.struct("pos", "kw"))).alias("_cut")
     )
     per_doc = cut.select(ROW, F.col("_cut.kw").alias("terms"))
@@ -83,30 +79,30 @@ def keyword_positions(
 
 
 def without_overlaps(matches: DataFrame, by: Sequence[str]) -> DataFrame:
-    """From matches ``by, pos, kw``, one per place, those that start after the last one that was taken.
+    """Of the matches ``by, pos, kw`` of a text those that start after the last one that was taken.
 
-    A place that no match covers cuts a text into runs, and the first match of a run is taken
-    whatever came before it. Inside a run the matches are gone through in order, with nothing held
-    but where the last one ends; so work and memory are linear however long a text is.
+    Of several at one place that with the highest ``kw_id`` is taken, if there is one. Matches are
+    sorted by place and gone through in order, with nothing held but where the last one ends: work
+    and memory are linear however long a text is, and whole texts are cut apart from one another.
     """
-    end = F.col("pos") + F.length("kw")
-    before = Window.partitionBy(*by).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    begins = F.col("pos") >= F.coalesce(F.max(end).over(before), F.lit(0))
-    columns = matches.columns
+    columns, by = matches.columns, list(by)
+    best_first = [F.desc("kw_id")] if "kw_id" in columns else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        after = 0
+        text, after = None, 0
         for batch in batches:
+            keys = [batch.column(c).to_pylist() for c in by]
+            keys = keys[0] if len(keys) == 1 else list(zip(*keys, strict=True))
             taken = []
-            of = zip(*[batch.column(c).to_pylist() for c in ("pos", "_end", "_begins")], strict=True)
-            for pos, last, first in of:
-                taken.append(first or pos >= after)
-                if taken[-1]:
-                    after = last
+            for key, pos, end in zip(keys, batch.column("pos").to_pylist(), batch.column("_end").to_pylist(), strict=True):
+                free = pos >= after or key != text
+                if free:
+                    text, after = key, end
+                taken.append(free)
             yield batch.filter(pa.array(taken, pa.bool_())).select(columns)
 
-    ordered = matches.withColumn("_begins", begins).withColumn("_end", end)
-    return ordered.sortWithinPartitions(*by, "pos").mapInArrow(run, matches.schema)
+    dealt = matches.withColumn("_end", F.col("pos") + F.length("kw")).repartition(*by)
+    return dealt.sortWithinPartitions(*by, "pos", *best_first).mapInArrow(run, matches.schema)
 
 
 def identified(docs: DataFrame) -> DataFrame:
