@@ -195,9 +195,9 @@ class Aligner:
         n_a = np.array([len(e) for e in of_a])
         ids_a = np.array([i for e in of_a for i in e.ids], np.int64)
         cuts_a = np.array([x[1] for e in of_a for x in e.offsets], np.int64)
-        # B adds the space that a unit begins with. Before other units stands a line feed, which no piece holds,
-        # and what is spelt for it and the added space is left out.
-        begins = [u[0] == " " for u in new]
+        # B adds the space that a unit begins with, but for no text. Before other units stands a line feed, which no
+        # piece holds, and what is spelt for it and the added space is left out.
+        begins = [u[0] == " " and len(u) > 1 for u in new]
         texts = [u[1:] if s else "\n" + u for u, s in zip(new, begins, strict=True)]
         of_b = self.b.encode(texts, return_type="offset_mapping", num_threads=1)
         out = [0 if s else 2 for s in begins]
@@ -421,7 +421,7 @@ def _joined(aligned: DataFrame, counts: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["block", "at", "pair", "often"])
 
     lines = aligned.mapInArrow(run, "block bigint, at bigint, pair bigint, often bigint")
-    scores = lookup(lines, counts, "pair", small=False).groupBy("block", "at").agg(
+    scores = lookup(lines, counts, "pair", small=False, costly=True).groupBy("block", "at").agg(
         F.sum(F.when(F.col("best"), F.col("often")).otherwise(0)).alias("n_best"),
         F.sum(F.col("often") * F.col("n")).alias("count_sum"),
     )
