@@ -42,10 +42,10 @@ from newsloom.operators.joins import lookup
 from newsloom.sizes import BROADCAST_BYTES
 
 #: Units that a worker remembers, and pairs that a task adds up before it hands them on.
-REMEMBERED, HELD_PAIRS = 300_000, 1 << 19
+REMEMBERED, HELD_PAIRS = 200_000, 1 << 18
 
 #: Texts whose new units are encoded together, and units that a block of documents has but for its last document.
-TOGETHER, BLOCK_UNITS = 64, 200_000
+TOGETHER, BLOCK_UNITS = 64, 100_000
 
 #: Bytes of one pair with its numbers in memory.
 PAIR_BYTES = 24
@@ -310,6 +310,8 @@ def blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                         own.forget()
         if ids:
             yield row(ids, digests, held, own)
+        # The worker's next task may be another stage's.
+        own.forget()
 
     fields = ", ".join(f"{name} array<{SQL_NAMES[kind]}>" for name, kind in BLOCK.items())
     columns = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))

@@ -618,5 +618,5 @@ def extract(pages: DataFrame) -> DataFrame:
         host_of(F.col("url").cast("string")).alias("_host"),
     )
     grouped = rows.mapInArrow(group, "page_id bigint, url string, html string, grp string")
-    joined = lookup(grouped, wrappers(pages), "grp", "left").select("page_id", "url", "html", "grp", "wrapper")
+    joined = lookup(grouped, wrappers(pages), "grp", "left", costly=True).select("page_id", "url", "html", "grp", "wrapper")
     return joined.mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
