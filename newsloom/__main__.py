@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from newsloom.lineage import clean
 from newsloom.plans import jobs
 
 _JOBS = {
@@ -30,6 +31,7 @@ def main(argv: list[str] | None = None) -> None:
         command.add_argument("--write-to", help="write the rows as Parquet instead of showing them")
     given = vars(parser.parse_args(argv))
     job, arguments = _JOBS[given["job"]]
+    is_own = SparkSession.getActiveSession() is None
     spark = SparkSession.builder.appName(f"newsloom {given['job']}").getOrCreate()
     result = job(spark, **{a.replace("-", "_"): given[a.replace("-", "_")] for a in arguments})
     if isinstance(result, DataFrame):
@@ -37,6 +39,8 @@ def main(argv: list[str] | None = None) -> None:
             result.write.mode("errorifexists").parquet(given["write_to"])
         else:
             result.show(100, truncate=False)
+    if is_own:
+        clean(spark)
 
 
 if __name__ == "__main__":

@@ -37,3 +37,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete the tables that this application has written to the shared folder, once nothing reads them any more."""
+    folder = f"{shared_folder(spark)}/newsloom/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

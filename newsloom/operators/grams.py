@@ -212,7 +212,7 @@ def occurrences(
             continue
         columns = [held.column(c).to_numpy() for c in ("gram", "size", "back", "ahead")]
         places = candidates(docs, FiledGrams(columns[0].view(np.uint64), *columns[1:]), text=text, key=key, once=once)
-        joined = lookup(places, dictionary.where(part).select("gram", "back", "kw_id", "kw"), "gram")
+        joined = lookup(places, dictionary.where(part).select("gram", "back", "kw_id", "kw"), "gram", costly=True)
         start = F.col("pos") - F.col("back")
         same = F.substr("around", (start - F.col("begin") + 1).cast("int"), F.length("kw")) == F.col("kw")
         # A keyword that would begin before the text isn't in it.

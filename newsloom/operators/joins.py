@@ -20,26 +20,35 @@ def lookup(
     *,
     small: bool | None = None,
     hot_rows: int | None = None,
+    costly: bool = False,
 ) -> DataFrame:
     """Join ``big`` with ``side`` (inner or left): broadcast if measured small, else spread.
 
     ``small`` passes on a bound the caller has already proven, so that ``side`` is not computed
-    a second time just to be measured.
+    a second time just to be measured. ``costly`` is for :func:`spread_join`.
     """
     if fits_broadcast(side) if small is None else small:
         return big.join(F.broadcast(side), on, how)
-    return spread_join(big, side, on, how, hot_rows=hot_rows)
+    return spread_join(big, side, on, how, hot_rows=hot_rows, costly=costly)
 
 
 def spread_join(
-    big: DataFrame, side: DataFrame, on: str, how: str = "inner", *, hot_rows: int | None = None
+    big: DataFrame,
+    side: DataFrame,
+    on: str,
+    how: str = "inner",
+    *,
+    hot_rows: int | None = None,
+    costly: bool = False,
 ) -> DataFrame:
     """A shuffled equi-join in which no key of ``big`` lands in one task whole.
 
     Keys are counted first. A key with n rows is cut into ``ceil(n / hot_rows)`` parts and its
-    rows in ``side`` are repeated for each part; all other keys are joined as they are.
+    rows in ``side`` are repeated for each part; all other keys are joined as they are. As ``big`` is
+    read twice, a ``costly`` one is written first.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    big = materialize(big, "joined") if costly else big
     hot = materialize(
         big.where(F.col(on).isNotNull())
         .groupBy(on)

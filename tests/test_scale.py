@@ -7,12 +7,14 @@ import time
 
 import numpy as np
 import pytest
+from newsloom import lineage
 from newsloom.operators import (
     artifacts,
     bayes,
     cooccurrence,
     embeddings,
     grams,
+    joins,
     keywords,
     matching,
     neighbours,
@@ -365,3 +367,21 @@ def test_vectors_of_no_words(spark):
     empty = spark.createDataFrame([], "tokens array<string>")
     assert skipgram.fit(empty).collect() == []
     assert skipgram.fit(spark.createDataFrame([(["a", "b"],), (None,), ([],)], "tokens array<string>")).collect() == []
+
+
+def test_written_tables_can_be_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lineage, "shared_folder", lambda _: str(tmp_path))
+    table = lineage.materialize(spark.range(5).toDF("x"), "some")
+    assert table.count() == 5 and any(tmp_path.rglob("part-*"))
+    lineage.clean(spark)
+    assert not any(tmp_path.rglob("part-*"))
+
+
+@pytest.mark.parametrize("costly", [False, True])
+def test_a_hot_key_is_spread_and_costly_rows_are_read_back(spark, costly):
+    big = spark.range(1000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    side = spark.createDataFrame([(7, "hot"), (3, "three")], "k bigint, v string")
+    found = joins.spread_join(big, side, "k", hot_rows=100, costly=costly)
+    assert {(r["v"], r["count"]) for r in found.groupBy("v").count().collect()} == {("hot", 666), ("three", 1)}
+    parts = found.withColumn("p", F.spark_partition_id()).where("k = 7").select("p").distinct().count()
+    assert parts > 1
