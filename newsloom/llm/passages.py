@@ -99,7 +99,10 @@ def encode(texts: list[bytes], words_in_all: np.ndarray | None = None) -> tuple[
     shares = np.bincount(byte_passage * N_CLASSES + kind, minlength=total * N_CLASSES).reshape(total, -1)
     n_bytes = np.maximum(1, shares.sum(axis=1, keepdims=True))
     pair = byte_passage[:-1] * N_CLASSES**2 + kind[:-1] * N_CLASSES + kind[1:]
-    pairs = np.bincount(pair, minlength=total * N_CLASSES**2).reshape(total, -1)
+    # What stands between two texts is followed by nothing, so that a text's vectors don't depend on the next one.
+    inside = np.ones(len(pair), bool)
+    inside[text_start[1:-1] - 1] = False
+    pairs = np.bincount(pair[inside], minlength=total * N_CLASSES**2).reshape(total, -1)
 
     if len(starts):
         place = np.zeros(len(data), np.int64)
