@@ -65,17 +65,10 @@ NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
 DIGEST = ", ".join(f"{name} bigint" for name in NUMBERS) + ", groups_sha256 string"
 RESULT = ["doc_id", *NUMBERS, "groups_sha256", "n_best", "count_sum"]
 
-#: What a block of documents holds, each as an array.
-BLOCK = {
-    "doc_id": pa.int64(),
-    **{name: pa.int64() for name in NUMBERS},
-    "groups_sha256": pa.string(),
-    "n_units": pa.int32(),
-    "units": pa.int32(),
-    "n_pairs": pa.int32(),
-    "pairs": pa.int64(),
-}
-SQL_NAMES = {pa.int64(): "bigint", pa.int32(): "int", pa.string(): "string"}
+#: What a block of documents holds: of each document a number or string, and compressed numbers.
+LISTED = {"doc_id": pa.int64(), **{name: pa.int64() for name in NUMBERS}, "groups_sha256": pa.string()}
+PACKED = {"n_units": "<i4", "units": "<i4", "n_pairs": "<i4", "pairs": "<i8"}
+CODEC = "zstd"
 
 
 def byte_letters() -> dict[str, int]:
@@ -288,9 +281,13 @@ def blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def row(ids: list, digests: list, places: list[np.ndarray], own: Aligner) -> pa.RecordBatch:
         used, units = np.unique(np.concatenate(places), return_inverse=True)
         sizes = [len(x) for x in places]
-        held = [ids, *map(list, zip(*digests, strict=True)), sizes, units, own.sums[used, 3], own.pairs(used)]
-        arrays = [pa.array([x], pa.list_(kind)) for x, kind in zip(held, BLOCK.values(), strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65]), *arrays], names=["block", *BLOCK])
+        held = [ids, *map(list, zip(*digests, strict=True))]
+        arrays = [pa.array([x], pa.list_(kind)) for x, kind in zip(held, LISTED.values(), strict=True)]
+        numbers = [sizes, units, own.sums[used, 3], own.pairs(used)]
+        for values, kind in zip(numbers, PACKED.values(), strict=True):
+            plain = np.asarray(values).astype(kind).tobytes()
+            arrays.append(pa.array([len(plain).to_bytes(8, "little") + pa.compress(plain, CODEC, asbytes=True)], pa.binary()))
+        return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65]), *arrays], names=["block", *LISTED, *PACKED])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(path_a, path_b)
@@ -313,7 +310,9 @@ def blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         # The worker's next task may be another stage's.
         own.forget()
 
-    fields = ", ".join(f"{name} array<{SQL_NAMES[kind]}>" for name, kind in BLOCK.items())
+    fields = ", ".join(
+        [f"{name} array<{'string' if kind == pa.string() else 'bigint'}>" for name, kind in LISTED.items()] + [f"{name} binary" for name in PACKED]
+    )
     columns = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return materialize(columns.mapInArrow(run, "block bigint, " + fields), "aligned")
 
@@ -321,9 +320,14 @@ def blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 def _documents(batch: pa.RecordBatch) -> Iterator[tuple]:
     """Of each block the number, ids and digests, the documents' units, and the numbers and pairs of the units."""
     for i in range(len(batch)):
-        values = [batch.column(name)[i].values for name in BLOCK]
-        units = np.split(values[-3].to_numpy(), np.cumsum(values[-4].to_numpy())[:-1])
-        yield batch.column("block")[i].as_py(), values[:-4], units, values[-2].to_numpy(), values[-1].to_numpy()
+        n_units, units, n_pairs, pairs = (_numbers(batch.column(name)[i].as_py(), kind) for name, kind in PACKED.items())
+        listed = [batch.column(name)[i].values for name in LISTED]
+        yield batch.column("block")[i].as_py(), listed, np.split(units, np.cumsum(n_units)[:-1]), n_pairs, pairs
+
+
+def _numbers(packed: bytes, kind: str) -> np.ndarray:
+    size = int.from_bytes(packed[:8], "little")
+    return np.frombuffer(pa.decompress(packed[8:], size, CODEC, asbytes=True), kind)
 
 
 def _pairs_of(units: np.ndarray, ends: np.ndarray, n_pairs: np.ndarray, pairs: np.ndarray) -> np.ndarray:
