@@ -64,3 +64,10 @@ def test_no_query_plans_a_cross_join_or_python(spark):
 def test_nearest_limits_before_the_shuffle(spark):
     text = plan(QUERIES["nearest_vectors"](spark, SF_DIR))
     assert "row_number(), 10, Partial" in text
+
+
+def test_whole_files_of_all_documents_are_scanned(spark):
+    found = QUERIES["whole_file_scan"](spark, SF_DIR).collect()
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    assert sum(r["n_lines"] for r in found) == docs.count()
+    assert {r["label"] for r in found} == {r["lang"] for r in docs.select("lang").distinct().collect()}
